@@ -1,4 +1,34 @@
 """Queries of the text problems with their SQL."""
 
-QUERIES = {}
-ORACLE = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from papyrine.llm import leaks, tokens
+from papyrine.session import table
+
+
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode(table(spark, sf_dir, "documents"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
+
+
+def p9_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.without_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
+
+
+QUERIES = {"p8_ids": p8_ids, "p9_found": p9_found, "p9_cleaned": p9_cleaned}
+
+P9 = """
+with w as (select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from (select distinct doc_id, text from documents)),
+v as (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from eval_item),
+dw as (select doc_id, array_to_string(ws[i:i+11], ' ') as g from w, unnest(range(1, len(ws) - 10)) as t(i)),
+ew as (select distinct item_id, array_to_string(ws[i:i+11], ' ') as g from v, unnest(range(1, len(ws) - 10)) as t(i))
+select distinct doc_id, item_id from dw join ew using (g)
+"""
+
+ORACLE = {"p9_found": P9}
