@@ -5,10 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrine.llm import leaks, tokens
+from papyrine.llm import furniture, leaks, lookalike, sentences, split, tokens
 from papyrine.session import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return furniture.repeated_lines(table(spark, sf_dir, "manuscript"), table(spark, sf_dir, "shred_batch"))
+
+
+def p2_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return furniture.without_repeated_lines(table(spark, sf_dir, "manuscript"), table(spark, sf_dir, "shred_batch"))
+
+
+def _titles_and_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    titles = table(spark, sf_dir, "meta").select(F.lit("title").alias("field"), F.col("doc_id").alias("id"), F.col("title").alias("raw"))
+    return titles.unionByName(table(spark, sf_dir, "extract_refs").select(F.lit("snippet").alias("field"), F.col("entry_id").alias("id"), F.col("snippet").alias("raw")))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.lookalike_pairs(_titles_and_snippets(spark, sf_dir))
+
+
+def p4_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.unify(_titles_and_snippets(spark, sf_dir)).select("field", "id", "text")
+
+
+def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.pieces(table(spark, sf_dir, "manuscript"), table(spark, sf_dir, "docling_meta"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_pieces(spark, sf_dir).where("piece_no = 2").select("field", "doc_id")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.sentences(table(spark, sf_dir, "documents")).select("doc_id", "start_pos", "end_pos")
+
+
+def p10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.sentences(table(spark, sf_dir, "documents"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"))
 
@@ -21,7 +58,7 @@ def p9_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.without_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_found": p9_found, "p9_cleaned": p9_cleaned}
+QUERIES = {f.__name__: f for f in (p2_found, p2_cleaned, p4_found, p4_unified, p5_found, p5_pieces, p8_ids, p9_found, p9_cleaned, p10_found, p10_sentences)}
 
 P9 = """
 with w as (select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from (select distinct doc_id, text from documents)),
@@ -31,4 +68,21 @@ ew as (select distinct item_id, array_to_string(ws[i:i+11], ' ') as g from v, un
 select distinct doc_id, item_id from dw join ew using (g)
 """
 
-ORACLE = {"p9_found": P9}
+P2 = """
+with j as (select doc_id, min(journal) as journal from shred_batch where journal is not null and doc_id is not null group by doc_id),
+m as (select distinct doc_id, marker_md, journal from manuscript join j using (doc_id) where marker_md is not null),
+l as (select doc_id, journal, i as line_no, trim(regexp_replace(regexp_replace(lower(ls[i]), '[0-9]', '', 'g'), '[ \t]+', ' ', 'g'), ' ') as form
+      from (select *, string_split(marker_md, chr(10)) as ls from m), unnest(range(1, len(ls) + 1)) as t(i)),
+n as (select journal, count(distinct doc_id) as papers from m group by journal),
+f as (select journal, form from l join n using (journal) where length(form) >= 30 group by journal, form, papers
+      having count(distinct doc_id) >= 4 and count(distinct doc_id) >= 0.15 * papers)
+select doc_id, line_no from l join f using (journal, form)
+"""
+
+P5 = """
+select 'marker_md' as field, doc_id from manuscript where length(marker_md) > 4000
+union
+select 'headings' as field, doc_id from docling_meta where list_sum(list_transform(headings, lambda h: length(coalesce(h.text, '')))) > 1000
+"""
+
+ORACLE = {"p2_found": P2, "p5_found": P5, "p9_found": P9}
