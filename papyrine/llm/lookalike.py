@@ -52,7 +52,10 @@ def plain(text: str) -> str:
 
 
 _LOOKS = str.maketrans(LOOKS)
-_FOREIGN = re.compile("[" + "".join(LOOKS) + "]")
+
+#: Letters to be looked at: the look-alikes, and those that are one of them with an accent.
+SUSPECT = "".join(c for c in map(chr, range(0x370, 0x590)) if unicodedata.normalize("NFD", c)[0] in LOOKS)
+_FOREIGN = re.compile(f"[{SUSPECT}]")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -75,7 +78,7 @@ def candidate(token: str, around: str) -> str | None:
         return None
     scripts = {_script(c) for c in _LETTER.findall(token)}
     if "LATIN" in scripts or around == "LATIN":
-        return token.translate(_LOOKS)
+        return unicodedata.normalize("NFC", unicodedata.normalize("NFD", token).translate(_LOOKS))
     return None
 
 
@@ -105,7 +108,7 @@ def unify(records: DataFrame) -> DataFrame:
     src = records.select("field", "id", "raw").where("raw is not null and id is not null").distinct()
     ascii_only = r"\A[\x00-\x7F]*\z"
     formed = src.select("field", "id", "raw", F.when(F.col("raw").rlike(ascii_only), F.col("raw")).otherwise(_plain_udf("raw")).alias("_text"))
-    foreign = F.col("_text").rlike("[" + "".join(LOOKS) + "]")
+    foreign = F.col("_text").rlike(f"[{SUSPECT}]")
     clean = formed.where(~foreign)
     tokens = formed.where(foreign).select("field", "id", "raw", "_text", F.posexplode(F.arrays_zip(F.split("_text", " ", -1).alias("t"), _candidates_udf("_text").alias("c"))).alias("_at", "_z"))
     tokens = tokens.select("field", "id", "raw", "_at", F.col("_z.t").alias("_token"), F.col("_z.c").alias("_cand"))
@@ -113,7 +116,7 @@ def unify(records: DataFrame) -> DataFrame:
     wanted = tokens.where("_cand is not null").select(F.col("_cand").alias("_v")).distinct()
     of_text = F.xxhash64("field", "raw")
     spelled = clean.select(F.explode(F.split("_text", " ", -1)).alias("_v"), of_text.alias("_of"))
-    spelled = spelled.unionByName(tokens.where("_cand is not null").select(F.col("_cand").alias("_v"), of_text.alias("_of")))
+    spelled = spelled.unionByName(tokens.select(F.coalesce("_cand", "_token").alias("_v"), of_text.alias("_of")))
     vocabulary = spelled.join(wanted, "_v", "left_semi").groupBy("_v").agg(F.min("_of").alias("_lo"), F.max("_of").alias("_hi")).where("_lo <> _hi").select(F.col("_v").alias("_cand"), F.lit(True).alias("_known"))
     chosen = F.when(F.col("_known"), F.col("_cand")).otherwise(F.col("_token"))
     mended = tokens.join(vocabulary, "_cand", "left").groupBy("field", "id", "raw").agg(F.sort_array(F.collect_list(F.struct("_at", chosen.alias("_t")))).alias("_ts"))
