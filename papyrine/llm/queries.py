@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrine.llm import furniture, leaks, lookalike, sentences, split, tokens
+from papyrine.llm import furniture, leaks, lookalike, neardup, sentences, split, tokens
+from papyrine.llm.words import window_hashes, words
 from papyrine.session import table
 
 
@@ -17,6 +18,31 @@ def p2_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return furniture.without_repeated_lines(table(spark, sf_dir, "manuscript"), table(spark, sf_dir, "shred_batch"))
 
 
+def _text_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = table(spark, sf_dir, "manuscript").where("marker_md is not null and doc_id is not null")
+    return src.select(F.col("doc_id").alias("id"), words(F.col("marker_md")).alias("ws")).select("id", window_hashes(F.col("ws"), 3).alias("hashes"))
+
+
+def _title_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "meta").where("title is not null and doc_id is not null").select(F.col("doc_id").alias("id"), neardup.char_shingles(F.col("title")).alias("hashes"))
+
+
+#: (threshold, size of sketch) of the texts and of the titles.
+TEXT_RULE, TITLE_RULE = (0.6, 96), (0.75, 512)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = neardup.similar_pairs(_text_sets(spark, sf_dir), *TEXT_RULE)
+    titles = neardup.similar_pairs(_title_sets(spark, sf_dir), *TITLE_RULE)
+    return texts.select(F.lit("marker_md").alias("field"), "id_a", "id_b").unionByName(titles.select(F.lit("title").alias("field"), "id_a", "id_b"))
+
+
+def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = neardup.groups(_text_sets(spark, sf_dir), *TEXT_RULE).select(F.lit("marker_md").alias("field"), "*")
+    titles = neardup.groups(_title_sets(spark, sf_dir), *TITLE_RULE).select(F.lit("title").alias("field"), "*")
+    return texts.unionByName(titles).withColumnRenamed("id", "doc_id")
+
+
 def _titles_and_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     titles = table(spark, sf_dir, "meta").select(F.lit("title").alias("field"), F.col("doc_id").alias("id"), F.col("title").alias("raw"))
     return titles.unionByName(table(spark, sf_dir, "extract_refs").select(F.lit("snippet").alias("field"), F.col("entry_id").alias("id"), F.col("snippet").alias("raw")))
@@ -58,7 +84,7 @@ def p9_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.without_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_cleaned, p4_found, p4_unified, p5_found, p5_pieces, p8_ids, p9_found, p9_cleaned, p10_found, p10_sentences)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_cleaned, p3_found, p3_groups, p4_found, p4_unified, p5_found, p5_pieces, p8_ids, p9_found, p9_cleaned, p10_found, p10_sentences)}
 
 P9 = """
 with w as (select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from (select distinct doc_id, text from documents)),
@@ -79,10 +105,21 @@ f as (select journal, form from l join n using (journal) where length(form) >= 3
 select doc_id, line_no from l join f using (journal, form)
 """
 
+P3 = """
+with t as (select distinct doc_id, regexp_extract_all(lower(marker_md), '[\\p{L}\\p{N}]+') as ws from manuscript where marker_md is not null),
+g as (select distinct 'marker_md' as field, doc_id, array_to_string(ws[i:i+2], ' ') as g from t, unnest(range(1, len(ws) - 1)) as u(i)
+      union all
+      select distinct 'title', doc_id, substr(lower(title), i, 3) from meta, unnest(range(1, length(title) - 1)) as u(i)),
+n as (select field, doc_id, count(*) as n from g group by field, doc_id),
+p as (select a.field, a.doc_id as id_a, b.doc_id as id_b, count(*) as k from g a join g b on a.field = b.field and a.g = b.g and a.doc_id < b.doc_id group by all)
+select p.field, id_a, id_b from p join n x on (x.field = p.field and x.doc_id = id_a) join n y on (y.field = p.field and y.doc_id = id_b)
+where k >= (x.n + y.n - k) * case p.field when 'title' then 0.75 else 0.6 end
+"""
+
 P5 = """
 select 'marker_md' as field, doc_id from manuscript where length(marker_md) > 4000
 union
 select 'headings' as field, doc_id from docling_meta where list_sum(list_transform(headings, lambda h: length(coalesce(h.text, '')))) > 1000
 """
 
-ORACLE = {"p2_found": P2, "p5_found": P5, "p9_found": P9}
+ORACLE = {"p2_found": P2, "p3_found": P3, "p5_found": P5, "p9_found": P9}
