@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrine.llm import furniture, leaks, lookalike, neardup, sentences, split, tokens
+from papyrine.llm import furniture, leaks, lookalike, markup, neardup, scans, sentences, split, tokens
 from papyrine.llm.words import window_hashes, words
 from papyrine.session import table
 
@@ -64,6 +64,22 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_pieces(spark, sf_dir).where("piece_no = 2").select("field", "doc_id")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.scan_noise(table(spark, sf_dir, "manuscript"))
+
+
+def p6_mended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.mended(table(spark, sf_dir, "manuscript"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.residue(table(spark, sf_dir, "manuscript"))
+
+
+def p7_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.cleaned(table(spark, sf_dir, "manuscript"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentences(table(spark, sf_dir, "documents")).select("doc_id", "start_pos", "end_pos")
 
@@ -84,7 +100,7 @@ def p9_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.without_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_cleaned, p3_found, p3_groups, p4_found, p4_unified, p5_found, p5_pieces, p8_ids, p9_found, p9_cleaned, p10_found, p10_sentences)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_cleaned, p3_found, p3_groups, p4_found, p4_unified, p5_found, p5_pieces, p6_found, p6_mended, p7_found, p7_cleaned, p8_ids, p9_found, p9_cleaned, p10_found, p10_sentences)}
 
 P9 = """
 with w as (select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from (select distinct doc_id, text from documents)),
