@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from papyrine.session import broadcast_if_small, checkpoint
 
-#: 64-bit words of a bitmap.
-BITMAP_WORDS = 8
+#: Bits of a bitmap for each shingle of its set, at least; widths are powers of two.
+BITS_PER_SHINGLE = 2
 
 #: Rows of a tile above which it is cut into blocks that meet pairwise in different tasks.
 TILE_ROWS = 1024
@@ -42,14 +42,26 @@ def char_shingles(text: Column, n: int = 3) -> Column:
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """Bit i is the parity of the shingles hashed to i: each bit in which two maps differ is a shingle that only one set has."""
-    at = (hashes.view(np.uint64) >> np.uint64(7)) % np.uint64(BITMAP_WORDS * 64)
-    odd = np.flatnonzero(np.bincount(at.astype(np.int64), minlength=BITMAP_WORDS * 64) & 1)
-    words = np.zeros(BITMAP_WORDS, np.uint64)
+    """Bit i is the parity of the shingles hashed to i: each bit in which two maps differ is a shingle that only one set has.
+
+    The width grows with the set, so that large sets are told apart as well as small ones; a wide map
+    folds into one of half its width.
+    """
+    width = 1 << max(0, math.ceil(math.log2(max(1, len(hashes) * BITS_PER_SHINGLE / 64))))
+    at = (hashes.view(np.uint64) >> np.uint64(7)) % np.uint64(width * 64)
+    odd = np.flatnonzero(np.bincount(at.astype(np.int64), minlength=width * 64) & 1)
+    words = np.zeros(width, np.uint64)
     np.bitwise_or.at(words, odd >> 6, np.uint64(1) << (odd & 63).astype(np.uint64))
     return words.view(np.int64)
 
 
+def fold(words: np.ndarray, width: int) -> np.ndarray:
+    while len(words) > width:
+        half = len(words) // 2
+        words = words[:half] ^ words[half:]
+    return words
+
+
 def least_shared(size: int, threshold: float, k: int) -> int:
     """Shingles that the sketch of a set of ``size`` shares at least with the sketch of any similar set."""
     exact = math.ceil(threshold * size - 1e-9)
@@ -82,7 +94,9 @@ def _compare(frame: pd.DataFrame, threshold: float) -> pd.DataFrame:
     n = frame["n"].to_numpy(np.int64)
     ids, own = frame["id"].to_numpy(np.int64), frame["own"].to_numpy(np.int64)
     crossed = (frame["bi"] != frame["bj"]).to_numpy()
-    bits = np.stack(frame["bits"].to_numpy()).view(np.uint64)
+    bits = frame["bits"].to_numpy()
+    widths = np.fromiter(map(len, bits), np.int64, len(bits))
+    maps = {w: np.stack([fold(x, w) if len(x) >= w else np.zeros(w, np.int64) for x in bits]).view(np.uint64) for w in np.unique(widths)}
     new = np.ones(len(frame), bool)
     tiles = frame[["tok", "bi", "bj"]].to_numpy(np.int64)
     new[1:] = (tiles[1:] != tiles[:-1]).any(1)
@@ -98,7 +112,10 @@ def _compare(frame: pd.DataFrame, threshold: float) -> pd.DataFrame:
         a = np.repeat(np.arange(start, upto), c)
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(c) - c, c)
         most = (1 - threshold) / (1 + threshold) * (n[a] + n[b]) + 1e-9  # shingles that a similar pair may not share
-        ok = (np.bitwise_count(bits[a] ^ bits[b]).sum(1) <= most) & (~crossed[a] | (own[a] != own[b])) & (ids[a] != ids[b])
+        ok = (~crossed[a] | (own[a] != own[b])) & (ids[a] != ids[b])
+        for w, m in maps.items():
+            at = np.flatnonzero(ok & (np.minimum(widths[a], widths[b]) == w))
+            ok[at] = np.bitwise_count(m[a[at]] ^ m[b[at]]).sum(1) <= most[at]
         lo, hi = np.minimum(ids[a[ok]], ids[b[ok]]), np.maximum(ids[a[ok]], ids[b[ok]])
         found.append(pd.DataFrame({"a": lo, "b": hi}))
         start = upto
