@@ -59,22 +59,35 @@ def lines(text: Column) -> Column:
     return F.split(F.regexp_replace(text, r"\n\z", ""), "\n", -1)
 
 
+def _feeds(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+
+
 def located(text: Column, pattern: str, groups: Sequence[int] = (0,)) -> Column:
-    """All matches as structs ``start, end, g0, g1, ...``; offsets count code points from 0."""
-    pieces = F.transform(F.split(text, java(pattern), -1), F.length)
-    found = [extract_all(text, pattern, g) for g in groups]
-    whole = F.transform(extract_all(text, pattern, 0), F.length)
-
-    def start(i: Column) -> Column:
-        total = lambda xs, n: F.aggregate(F.slice(xs, 1, n), F.lit(0), lambda a, x: a + x)
-        return total(pieces, i + 1) + total(whole, i)
-
-    n = F.size(whole)
-    at = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(
-        at,
-        lambda i: F.struct(start(i).alias("start"), (start(i) + F.get(whole, i)).alias("end"), *[F.get(f, i).alias(f"g{g}") for g, f in zip(groups, found)]),
-    )
+    """All matches as structs ``start, end, line, g0, g1, ...``: offsets of code points from 0, lines from 1.
+
+    The text is searched once for each group; a fold over what lies between the matches adds up the
+    places, so that nothing is searched again for each match.
+    """
+    names = [f"g{g}" for g in dict.fromkeys([0, *groups])]
+    found = [extract_all(text, pattern, int(n[1:])).alias(n) for n in names]
+    parts = F.arrays_zip(F.split(text, java(pattern), -1).alias("gap"), *found)
+    kind = "struct<start:int,end:int,line:int," + ",".join(f"{n}:string" for n in names) + ">"
+
+    def step(acc: Column, z: Column) -> Column:
+        start, line = acc["at"] + F.length(z["gap"]), acc["line"] + _feeds(z["gap"])
+        hit = F.struct(start.alias("start"), (start + F.length(z["g0"])).alias("end"), line.alias("line"), *[z[n].alias(n) for n in names]).cast(kind)
+        return F.when(z["g0"].isNull(), acc).otherwise(
+            F.struct((start + F.length(z["g0"])).alias("at"), (line + _feeds(z["g0"])).alias("line"), F.concat(acc["out"], F.array(hit)).alias("out")),
+        )
+
+    nothing = F.struct(F.lit(0).alias("at"), F.lit(1).alias("line"), F.array().cast(f"array<{kind}>").alias("out"))
+    return F.aggregate(parts, nothing, step, lambda acc: acc["out"])
+
+
+def first_of_each(items: Column, key: str, kind: str) -> Column:
+    """The items of an array whose ``key`` did not come before."""
+    return F.aggregate(items, F.array().cast(f"array<{kind}>"), lambda acc, x: F.when(F.exists(acc, lambda y: y[key] == x[key]), acc).otherwise(F.concat(acc, F.array(x.cast(kind)))))
 
 
 def quoted(text: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from papyrine.functions.patterns import D, S, located, matches, strip_stars
+from papyrine.functions.patterns import D, S, first_of_each, located, matches, strip_stars
 
 # The thresholds of the rule.
 MIN_SIDE, MAX_ASPECT, MIN_AREA, CAPTION_LINES, CAPTION_CHARS = 300, 5.0, 100_000, 20, 240
@@ -38,8 +38,7 @@ def captions(text: Column) -> Column:
     """Structs ``n, caption``: the first caption of each figure number, cut to its first sentence."""
     found = F.transform(located(text, CAPTION, (1, 2)), lambda m: F.struct(m["g1"].cast("int").alias("n"), _sentence(_block(text, m)).alias("caption")))
     found = F.filter(found, lambda x: x["caption"].isNotNull() & x["n"].isNotNull())
-    numbers = F.transform(found, lambda x: x["n"])
-    return F.filter(found, lambda x, i: F.array_position(numbers, x["n"]) == i + 1)
+    return first_of_each(found, "n", "struct<n:int,caption:string>")
 
 
 def _block(text: Column, m: Column) -> Column:
@@ -79,7 +78,7 @@ def figure_records(classified: DataFrame, texts: DataFrame, doc: str = "doc_id")
     """``doc, n, path, caption, sidecar``: kept images in order, each with the caption of its ordinal."""
     rank = F.row_number().over(Window.partitionBy(doc).orderBy(F.when(F.col("source") == "marker", 0).otherwise(1), "path"))
     kept = classified.where("kept").select(doc, rank.alias("n"), "path", F.lower(F.regexp_extract("path", r"(\.[^./]*)\z", 1)).alias("ext"))
-    told = texts.select(F.col(doc), F.explode(captions(F.col("text"))).alias("c")).select(doc, F.col("c.n").alias("n"), F.col("c.caption").alias("caption"))
+    told = texts.select(F.col(doc), F.explode_outer(captions(F.col("text"))).alias("c")).where("c is not null").select(doc, F.col("c.n").alias("n"), F.col("c.caption").alias("caption"))
     rows = kept.join(told, [doc, "n"], "left")
     shown = F.coalesce("caption", F.lit("(no caption detected; see surrounding section text)"))
     no, nn = F.col("n").cast("string"), F.lpad(F.col("n").cast("string"), 2, "0")

@@ -36,7 +36,7 @@ def headings(text: Column) -> Column:
         lambda h: F.struct(
             F.length(h["g1"]).alias("level"),
             strip_stars(h["g2"]).alias("title"),
-            F.size(F.split(F.substring(text, F.lit(1), h["start"]), "\n", -1)).alias("line"),
+            h["line"].alias("line"),
             h["start"].alias("start"),
             h["end"].alias("end"),
         ),

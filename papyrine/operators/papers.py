@@ -32,7 +32,7 @@ def distinct_images(images: DataFrame) -> DataFrame:
 def decide(manuscripts: DataFrame, docling: DataFrame) -> DataFrame:
     """``doc_id, stem, text, md, pick, name`` and the docling facts: papers with their title decision and filename metadata."""
     rows = papers(manuscripts).join(docling_facts(docling), "doc_id", "left").withColumn("has_docling", F.coalesce("has_docling", F.lit(False)))
-    rows = rows.withColumn("pick", titles.pick(F.col("text"), F.col("docling_title"), F.col("stem"), F.col("has_docling")))
+    rows = titles.pick(rows)
     return rows.withColumns({"name": parse_filename(F.col("stem")), "title": F.coalesce(F.nullif(F.col("pick.recommended"), F.lit("")), titles.from_filename(F.col("stem")))})
 
 
@@ -48,10 +48,11 @@ def paper_meta(manuscripts: DataFrame, docling: DataFrame, images: DataFrame) ->
     are reduced to a row per paper before they meet.
     """
     plan = planned(manuscripts, docling)
-    style = cleaning.dominant_style(F.col("text"))
-    counts = references.format_counts(F.col("text"))
-    ids = references.identifiers(F.col("text"))
-    n_ids = F.size(ids)
+    plan = plan.withColumns({"_style": cleaning.dominant_style(F.col("text")), "_ids": F.size(references.identifiers(F.col("text"))), "_bib": references.bibliography(F.col("text")).isNotNull()})
+    counted = references.format_counts(F.col("text"))
+    plan = plan.withColumns({f"_n_{k}": c for k, c in counted.items()})
+    counts = {k: F.col(f"_n_{k}") for k in counted}
+    style, n_ids = F.col("_style"), F.col("_ids")
     facts = plan.select(
         "doc_id", "stem", "title",
         F.col("pick.source").alias("title_source"),
@@ -65,7 +66,7 @@ def paper_meta(manuscripts: DataFrame, docling: DataFrame, images: DataFrame) ->
         "n_pages",
         F.size("sections").alias("n_sections"),
         F.when(F.col("refs_at").isNotNull(), references.best_estimate(counts)).otherwise(n_ids).alias("n_references"),
-        (references.bibliography(F.col("text")).isNull() & (n_ids == 0) & (F.greatest(*counts.values()) < references.CREDIBLE)).alias("refs_likely_truncated"),
+        (~F.col("_bib") & (n_ids == 0) & (F.greatest(*counts.values()) < references.CREDIBLE)).alias("refs_likely_truncated"),
         style["style"].alias("citation_style"),
         F.coalesce(style["n"], F.lit(0)).alias("n_citations_inline"),
         F.transform("sections", lambda s: F.concat(s["slug"], F.lit(".md"))).alias("sections"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from papyrine.functions.patterns import D, NS, S, lines, located, matches, rewrite, strip
+from papyrine.functions.patterns import D, NS, S, first_of_each, lines, located, matches, rewrite, strip
 from papyrine.operators.headings import bibliography
 
 _NAME = r"[A-Z][a-zA-Z'\-]+"
@@ -26,12 +26,16 @@ DOI = rf"(?i)\b(?:doi:?{S}*)?(10\.{D}{{4,9}}/[^{S[1:-1]})\]]+)"
 SPAN = 120
 
 
+def _hits(part: Column, pattern: str) -> Column:
+    return F.size(F.filter(part, lambda x: matches(x, pattern)))
+
+
 def format_counts(text: Column) -> dict[str, Column]:
     """Lines of the bibliography, or of the whole text if it has none, in each format; a line may count in several."""
     ls = lines(text)
     section = bibliography(text)
     part = F.when(section.isNotNull(), F.slice(ls, F.coalesce(section["line"], F.lit(0)) + 1, F.greatest(F.size(ls), F.lit(1)))).otherwise(ls)
-    return {k: F.size(F.filter(part, lambda x, p=p: matches(x, p))) for k, p in FORMATS.items()}
+    return {k: _hits(part, p) for k, p in FORMATS.items()}
 
 
 def best_estimate(counts: dict[str, Column]) -> Column:
@@ -48,9 +52,15 @@ def snippet(text: Column, pos: Column, span: int = SPAN) -> Column:
     start = F.greatest(F.lit(0), pos - span)
     end = F.least(F.length(text), pos + span)
     chunk = F.substring(text, start + 1, end - start)
-    chars = F.split(chunk, "")
-    bounds = F.filter(F.transform(chars, lambda c, i: F.when(c.isin(".", "\n") & ((i + 1 >= F.length(chunk)) | F.coalesce(F.get(chars, i + 1).rlike(S), F.lit(True))), i)), lambda i: i.isNotNull())
-    moved = F.aggregate(bounds, start, lambda s, i: F.when(i < (pos - s) - 20, s + i + 1).otherwise(s))
+    # the pieces between boundaries: each boundary is one character
+    pieces = F.split(chunk, rf"[.\n](?={S}|\z)", -1)
+
+    def step(a: Column, piece: Column) -> Column:
+        at = a["at"] + F.length(piece)
+        return F.struct((at + 1).alias("at"), F.when(at < (pos - a["start"]) - 20, a["start"] + at + 1).otherwise(a["start"]).alias("start"))
+
+    bounds = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    moved = F.aggregate(bounds, F.struct(F.lit(0).alias("at"), start.cast("int").alias("start")), step, lambda a: a["start"])
     kept = strip(F.substring(text, moved + 1, F.greatest(F.lit(0), end - moved)))
     last = F.length(kept) - F.locate(".", F.reverse(kept))
     kept = F.when(F.contains(kept, F.lit(".")) & (last > F.floor(F.length(kept) / 2)), F.substring(kept, F.lit(1), last + 1)).otherwise(kept)
@@ -61,9 +71,7 @@ def identifiers(text: Column) -> Column:
     """Structs ``id, start`` of PMIDs, then of DOIs, the first place of each."""
     pmids = F.transform(located(text, PMID, (1,)), lambda m: F.struct(F.concat(F.lit("PMID:"), m["g1"]).alias("id"), m["start"].alias("start")))
     dois = F.transform(located(text, DOI, (1,)), lambda m: F.struct(F.concat(F.lit("doi:"), F.regexp_replace(m["g1"], r"[.,;:>)\\]+\z", "")).alias("id"), m["start"].alias("start")))
-    both = F.concat(pmids, dois)
-    ids = F.transform(both, lambda x: x["id"])
-    return F.filter(both, lambda x, i: F.array_position(ids, x["id"]) == i + 1)
+    return first_of_each(F.concat(pmids, dois), "id", "struct<id:string,start:int>")
 
 
 def entries(text: Column) -> Column:

@@ -125,6 +125,6 @@ def section_text(text: Column, section: Column) -> Column:
 
 def section_rows(planned: DataFrame, doc: str = "doc_id") -> DataFrame:
     """``doc, n, slug, title, start, end, body, cleaned`` of every section."""
-    rows = planned.select(doc, "text", F.posexplode("sections").alias("i", "s"))
+    rows = planned.select(doc, "text", F.posexplode_outer("sections").alias("i", "s")).where("s is not null")
     rows = rows.select(doc, (F.col("i") + 1).alias("n"), F.col("s.slug").alias("slug"), F.col("s.title").alias("title"), F.col("s.start").alias("start"), F.col("s.end").alias("end"), section_text(F.col("text"), F.col("s")).alias("body"))
     return rows.withColumn("cleaned", clean_section(F.col("body")))

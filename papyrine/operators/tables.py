@@ -37,7 +37,7 @@ def table_blocks(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Da
         )
         .otherwise(F.concat(acc, F.array(F.struct((r["i"] + 1).cast("int").alias("start_line"), F.lit(1).alias("n"))))),
     )
-    blocks = docs.select(F.col(doc), ls.alias("_ls"), runs.alias("_runs")).select(doc, "_ls", F.explode("_runs").alias("_r"))
+    blocks = docs.select(F.col(doc), ls.alias("_ls"), runs.alias("_runs")).select(doc, "_ls", F.explode_outer("_runs").alias("_r")).where("_r is not null")
     return blocks.select(doc, F.col("_r.start_line").alias("start_line"), F.slice("_ls", F.col("_r.start_line"), F.col("_r.n")).alias("lines"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.functions.patterns import D, S, extract_all, java, lines, matches, rewrite, strip, strip_stars
@@ -50,9 +50,15 @@ def from_labels(text: Column) -> Column:
     """The first substantial line after a title label; labels and prompts are passed over, a short line or a section name ends the search from that label."""
     pieces = F.split(text, java(LABEL), -1)
     rows = F.transform(pieces, lambda p: F.filter(F.transform(lines(p), strip_stars), lambda x: (x != "") & ~matches(x, rf"(?i)\A{_LABEL}\z") & ~F.coalesce(F.array_max(F.array(*[F.lower(x).startswith(w) for w in PROMPTS])), F.lit(False))))
-    first = F.transform(F.slice(rows, F.lit(2), F.greatest(F.size(rows), F.lit(1))), lambda _, i: F.get(F.flatten(F.slice(rows, i + 2, F.greatest(F.size(rows), F.lit(1)))), F.lit(0)))
-    good = F.filter(first, lambda x: x.isNotNull() & (F.length(x) >= SHORTEST) & ~matches(x, SECTION_PREFIX))
-    return F.get(good, F.lit(0))
+    firsts = F.transform(rows, lambda r: F.get(r, F.lit(0)))
+
+    def step(acc: Column, x: Column) -> Column:  # from the last label to the first, which wins
+        line = F.coalesce(x, acc["line"])
+        good = (F.length(line) >= SHORTEST) & ~matches(line, SECTION_PREFIX)
+        return F.struct(line.alias("line"), F.when(good, line).otherwise(acc["best"]).alias("best"))
+
+    nothing = F.struct(F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("best"))
+    return F.aggregate(F.reverse(F.slice(firsts, F.lit(2), F.greatest(F.size(firsts), F.lit(1)))), nothing, step, lambda acc: acc["best"])
 
 
 def body_h1(text: Column) -> Column:
@@ -61,29 +67,36 @@ def body_h1(text: Column) -> Column:
     return F.get(F.filter(found, lambda x: (x != "") & rejection(x).isNull()), F.lit(0))
 
 
-def pick(text: Column, docling: Column, stem: Column, has_docling: Column) -> Column:
-    """Struct ``recommended, source, rejected_docling, rejection_reason, warnings``; ``text`` is the cleaned text, null or empty if unreadable."""
-    body = F.coalesce(text, F.lit(""))
-    why, table, label, h1, name = rejection(docling), from_table(body), from_labels(body), body_h1(body), from_filename(stem)
-    found = F.coalesce(table, label)
-    source = F.when(table.isNotNull(), "body_table").when(label.isNotNull(), "body_heading").when(why.isNull(), "docling").when(h1.isNotNull(), "body_h1").otherwise("filename")
-    differs = found.isNotNull() & why.isNull() & (F.lower(strip(found)) != F.lower(strip(docling)))
+def pick(docs: DataFrame) -> DataFrame:
+    """Adds ``pick``: struct ``recommended, source, rejected_docling, rejection_reason, warnings``, to rows with ``text, docling_title, stem, has_docling``.
+
+    ``text`` is the cleaned text, null or empty if unreadable. Candidates become columns first, so that
+    each is searched for once.
+    """
+    body = F.coalesce("text", F.lit(""))
+    d = docs.withColumns({"_why": rejection(F.col("docling_title")), "_table": from_table(body), "_label": from_labels(body), "_h1": body_h1(body), "_file": from_filename(F.col("stem"))})
+    d = d.withColumn("_found", F.coalesce("_table", "_label"))
+    why = F.col("_why")
+    source = F.when(F.col("_table").isNotNull(), "body_table").when(F.col("_label").isNotNull(), "body_heading").when(why.isNull(), "docling").when(F.col("_h1").isNotNull(), "body_h1").otherwise("filename")
+    d = d.withColumn("_source", source)
+    differs = F.col("_found").isNotNull() & why.isNull() & (F.lower(strip(F.col("_found"))) != F.lower(strip(F.col("docling_title"))))
     warnings = F.array_compact(
         F.array(
-            F.when(~has_docling, F.lit("docling_meta.json not found")),
+            F.when(~F.col("has_docling"), F.lit("docling_meta.json not found")),
             F.when(body == "", F.lit("cleaned.md not readable")),
-            F.when(differs, F.concat(F.lit("body title differs from docling title (docling: '"), docling, F.lit("')"))),
-            F.when(source == "body_h1", F.concat(F.lit("docling title rejected ("), why, F.lit("); using body H1"))),
-            F.when(source == "filename", F.lit("no body title found and docling rejected; using filename stem")),
+            F.when(differs, F.concat(F.lit("body title differs from docling title (docling: '"), F.col("docling_title"), F.lit("')"))),
+            F.when(F.col("_source") == "body_h1", F.concat(F.lit("docling title rejected ("), why, F.lit("); using body H1"))),
+            F.when(F.col("_source") == "filename", F.lit("no body title found and docling rejected; using filename stem")),
         )
     )
-    return F.struct(
-        F.coalesce(found, F.when(why.isNull(), strip(docling)), h1, name).alias("recommended"),
-        source.alias("source"),
-        F.when(why.isNotNull(), docling).alias("rejected_docling"),
+    chosen = F.struct(
+        F.coalesce("_found", F.when(why.isNull(), strip(F.col("docling_title"))), "_h1", "_file").alias("recommended"),
+        F.col("_source").alias("source"),
+        F.when(why.isNotNull(), F.col("docling_title")).alias("rejected_docling"),
         why.alias("rejection_reason"),
         warnings.alias("warnings"),
     )
+    return d.withColumn("pick", chosen).drop("_why", "_table", "_label", "_h1", "_file", "_found", "_source")
 
 
 def detect(text: Column) -> Column:

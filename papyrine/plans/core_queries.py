@@ -78,20 +78,20 @@ def citation_style(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def heading_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _papers(spark, sf_dir).select("doc_id", F.explode(headings.headings(F.col("text"))).alias("h"))
+    rows = _papers(spark, sf_dir).select("doc_id", F.explode_outer(headings.headings(F.col("text"))).alias("h")).where("h is not null")
     return rows.select("doc_id", F.col("h.level"), F.col("h.title"), F.col("h.line"), F.col("h.start").alias("start_pos"), F.col("h.end").alias("end_pos")).distinct()
 
 
 @query
 def heading_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = table(spark, sf_dir, "manuscript").where("doc_id is not null and docling_md is not null")
-    rows = src.select("doc_id", F.posexplode(headings.line_headings(F.col("docling_md"))).alias("i", "h"))
+    rows = src.select("doc_id", F.posexplode_outer(headings.line_headings(F.col("docling_md"))).alias("i", "h")).where("h is not null")
     return rows.select("doc_id", F.col("i").alias("n"), F.col("h.level"), F.col("h.text")).distinct()
 
 
 @query
 def section_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _papers(spark, sf_dir).select("doc_id", F.explode(headings.headings(F.col("text"))).alias("h"))
+    rows = _papers(spark, sf_dir).select("doc_id", F.explode_outer(headings.headings(F.col("text"))).alias("h")).where("h is not null")
     rows = rows.select("doc_id", F.col("h.start").alias("start_pos"), headings.section_kind(F.col("h.title")).alias("kind"), headings.is_banner(F.col("h.title")).alias("banner"))
     return rows.distinct()
 
@@ -132,13 +132,13 @@ def refs_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ref_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _papers(spark, sf_dir).select("doc_id", F.explode(references.identifiers(F.col("text"))).alias("e"))
+    rows = _papers(spark, sf_dir).select("doc_id", F.explode_outer(references.identifiers(F.col("text"))).alias("e")).where("e is not null")
     return rows.select("doc_id", F.col("e.id").alias("ref_id"), F.col("e.start").alias("start_pos")).distinct()
 
 
 @query
 def ref_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _papers(spark, sf_dir).select("doc_id", F.explode(references.entries(F.col("text"))).alias("e"))
+    rows = _papers(spark, sf_dir).select("doc_id", F.explode_outer(references.entries(F.col("text"))).alias("e")).where("e is not null")
     return rows.select("doc_id", F.col("e.id").alias("ref_id"), F.col("e.snippet").alias("snippet")).distinct()
 
 
@@ -190,7 +190,7 @@ def filename_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _papers(spark, sf_dir).select(F.explode(headings.headings(F.col("text"))).alias("h"))
+    rows = _papers(spark, sf_dir).select(F.explode_outer(headings.headings(F.col("text"))).alias("h")).where("h is not null")
     return rows.select(F.col("h.title").alias("title"), sections.slugify(F.col("h.title")).alias("slug")).distinct()
 
 
@@ -204,13 +204,13 @@ def doc_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 def section_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _papers(spark, sf_dir).withColumn("heads", headings.headings(F.col("text")))
     end = F.coalesce(sections.references_start(F.col("heads")), F.length("text"))
-    rows = rows.withColumn("body_end", end).select("doc_id", "body_end", F.posexplode(sections.anchors(F.col("heads"), F.col("body_end"))).alias("i", "a"))
+    rows = rows.withColumn("body_end", end).select("doc_id", "body_end", F.posexplode_outer(sections.anchors(F.col("heads"), F.col("body_end"))).alias("i", "a")).where("a is not null")
     return rows.select("doc_id", F.col("i").alias("n"), F.col("a.start").alias("start_pos"), F.col("a.level").alias("level"), "body_end").distinct()
 
 
 @query
 def section_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sections.plan(_papers(spark, sf_dir)).select("doc_id", F.posexplode("sections").alias("i", "s"))
+    rows = sections.plan(_papers(spark, sf_dir)).select("doc_id", F.posexplode_outer("sections").alias("i", "s")).where("s is not null")
     return rows.select("doc_id", (F.col("i") + 1).alias("n"), F.col("s.slug").alias("slug"), F.col("s.title").alias("title"), F.col("s.start").alias("start_pos"), F.col("s.end").alias("end_pos")).distinct()
 
 
@@ -242,7 +242,7 @@ def caption_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _papers(spark, sf_dir).select("doc_id", F.explode(figures.captions(F.col("text"))).alias("c"))
+    rows = _papers(spark, sf_dir).select("doc_id", F.explode_outer(figures.captions(F.col("text"))).alias("c")).where("c is not null")
     return rows.select("doc_id", F.col("c.n").alias("n"), F.col("c.caption").alias("caption")).distinct()
 
 

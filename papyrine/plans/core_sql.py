@@ -57,7 +57,7 @@ REASONS = f"""case when n_rows = 0 then 'no rows' when n_cols <= 1 then '1-col b
   case when n_cols >= {tables.DATA_COLS} and n_rows >= {tables.DATA_ROWS} then n_cols || ' cols × ' || n_rows || ' rows' end,
   case when n_num >= {tables.NUMERIC_ROWS} and n_num / n_first >= 0.5 then n_num || ' numeric IDs in first col' end,
   case when admin_score = data_score then 'tie-break by size (' || n_rows || ' rows → ' || verdict || ')' end], lambda x: x is not null), '; ') end"""
-PREVIEW = f"coalesce(left(array_to_string(rows[1], case when n_cols > 1 then ' | ' else ' ' end), {tables.PREVIEW}), '')"
+PREVIEW = f"coalesce(left(case when n_cols > 1 then array_to_string(rows[1], ' | ') else array_to_string(rows[1], ' ') end, {tables.PREVIEW}), '')"
 
 REFS = f"""r as materialized (select doc_id, text, {full('text', headings.BIBLIOGRAPHY)} as has,
   nullif({sql_strip(f"regexp_extract(text, {quoted(headings.BIBLIOGRAPHY)})")}, '') as heading,
@@ -86,7 +86,7 @@ _ONE = f"coalesce(nullif(regexp_extract({_BLOCK}, {quoted(f'^([^\\n]*?[.!?]){S}'
 _CUT = f"left({_ONE}, {figures.CAPTION_CHARS})"
 CAPTION = f"case when length({_ONE}) > {figures.CAPTION_CHARS} then (case when contains({_CUT}, ' ') then regexp_replace({_CUT}, ' [^ ]*$', '') else {_CUT} end) || '…' else {_ONE} end"
 CAPTIONS = f"c as materialized (select doc_id, try_cast(g1 as int) as n, {CAPTION} as caption, row_number() over (partition by doc_id, try_cast(g1 as int) order by s) as k from {located('text', figures.CAPTION, 'm')} where {_BLOCK} <> '')"
-_LINE = "(length(left(text, at - 1)) - length(replace(left(text, at - 1), chr(10), '')))"
+_LINE = "(length(left(text, pos - 1)) - length(replace(left(text, pos - 1), chr(10), '')))"
 _NEAR = f"array_to_string(string_split(text, chr(10))[greatest(0, {_LINE} - {figures.CAPTION_LINES}) + 1:{_LINE} + {figures.CAPTION_LINES} + 1], chr(10))"
 _WORDS = lambda x: f"len(list_filter(string_split_regex({x}, {quoted(f'{S}+')}), lambda w: w <> ''))"
 _SHAPED = lambda x: f"({_WORDS(x)} between 3 and 25 and {x} not like '%.')"
@@ -133,8 +133,8 @@ ORACLE: dict[str, str] = {
     "figure_reasons": f"with {CLASSIFIED} select reason, count(*) as n from i where reason is not null group by reason",
     "captions": f"with {PAPERS}, {CAPTIONS} select doc_id, n, caption from c where k = 1",
     "figure_captions": f"with {PAPERS}, {CAPTIONS}, {CLASSIFIED}, k as (select doc_id, row_number() over (partition by doc_id order by case when source = 'marker' then 0 else 1 end, path)::int as n, path from i where reason is null) select doc_id, n, path, coalesce(caption, '') as caption from k left join (select doc_id, n, caption from c where k = 1) using (doc_id, n)",
-    "caption_gate": f"with {PAPERS}, {CLASSIFIED}, n as (select i.*, text, string_split(path, '/')[-1] as name from i left join m using (doc_id)), a as (select *, case when strpos(text, '](' || name) > 0 then strpos(text, '](' || name) else strpos(text, regexp_replace(name, '[.][^.]*$', '')) end as at from n), "
-    f"g as (select *, reason is null and coalesce(at > 0 and not {full(_NEAR, figures.CAPTION_LINE)}, false) as lost from a) select doc_id, path, source, w, h, reason is null and not lost as kept, case when lost then 'no_caption' else reason end as reason from g",
+    "caption_gate": f"with {PAPERS}, {CLASSIFIED}, n as (select i.*, text, string_split(path, '/')[-1] as name from i left join m using (doc_id)), a as (select *, case when strpos(text, '](' || name) > 0 then strpos(text, '](' || name) else strpos(text, regexp_replace(name, '[.][^.]*$', '')) end as pos from n), "
+    f"g as (select *, reason is null and coalesce(pos > 0 and not {full(_NEAR, figures.CAPTION_LINE)}, false) as lost from a) select doc_id, path, source, w, h, reason is null and not lost as kept, case when lost then 'no_caption' else reason end as reason from g",
     "image_pages": f"select distinct path, try_cast(nullif(regexp_extract(path, {quoted(figures.PAGE_IN_NAME)}, 1), '') as int) as page from image",
     "sanity_counts": f"with {PAPERS} select doc_id, len(list_filter({sql_lines('text')}, lambda x: {full('x', rf'^{S}*{D}+[.]{S}')}))::int as n_numbered, {sql_count('text', '<sup>')}::int as n_sup from m",
     "count_differences": "with a as (select doc_id, max(n_figures) as n_figures, max(n_tables) as n_tables from meta where doc_id is not null group by doc_id), b as (select doc_id, max(n_pictures) as n_pictures, max(n_tables) as t from docling_meta where doc_id is not null group by doc_id) "
