@@ -28,7 +28,7 @@ def pdfs(spark: SparkSession, target: str, contents: bool = False) -> DataFrame:
 
 def markdown(spark: SparkSession, path: str) -> DataFrame:
     """``path, md`` of whole markdown files, with one kind of line end."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
     return files.select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "\r\n?", "\n").alias("md"))
 
 
