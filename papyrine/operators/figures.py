@@ -23,7 +23,7 @@ def classify(images: DataFrame) -> DataFrame:
     bad = F.col("w").isNull() | F.col("h").isNull()
     why = F.concat_ws(",", F.when(small < MIN_SIDE, f"min_dim<{MIN_SIDE}"), F.when(aspect > MAX_ASPECT, f"aspect>{MAX_ASPECT}"), F.when(area < MIN_AREA, f"area<{MIN_AREA}"))
     reason = F.when(bad, "open_failed").otherwise(F.nullif(why, F.lit("")))
-    return images.withColumns({"area": area, "aspect": F.bround(aspect, 2), "kept": reason.isNull(), "reason": reason})
+    return images.withColumns({"area": area, "aspect": F.rint(aspect * 100) / 100, "kept": reason.isNull(), "reason": reason})
 
 
 def audit(classified: DataFrame, doc: str = "doc_id") -> DataFrame:
