@@ -6,7 +6,7 @@ matters; only a line feed ends a line. A rewrite is a list of (pattern, replacem
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,6 +59,11 @@ def lines(text: Column) -> Column:
     return F.split(F.regexp_replace(text, r"\n\z", ""), "\n", -1)
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, also inside functions over arrays."""
+    return F.get(F.transform(F.array(value), lambda x: then(x)), F.lit(0))
+
+
 def _feeds(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from papyrine.functions.patterns import D, S, first_of_each, located, matches, strip_stars
+from papyrine.functions.patterns import D, S, first_of_each, let, located, matches, strip_stars
 
 # The thresholds of the rule.
 MIN_SIDE, MAX_ASPECT, MIN_AREA, CAPTION_LINES, CAPTION_CHARS = 300, 5.0, 100_000, 20, 240
@@ -42,16 +42,17 @@ def captions(text: Column) -> Column:
 
 
 def _block(text: Column, m: Column) -> Column:
-    own = strip_stars(m["g2"])
     tail = F.get(F.split(strip_stars(F.substring(text, m["end"] + 1, F.lit(400))), "\n\n"), F.lit(0))
-    return F.nullif(F.when(own != "", own).otherwise(tail), F.lit(""))
+    return F.nullif(let(strip_stars(m["g2"]), lambda own: F.when(own != "", own).otherwise(tail)), F.lit(""))
 
 
 def _sentence(block: Column) -> Column:
-    one = F.get(F.split(block, rf"(?<=[.!?]){S}+", 2), F.lit(0))
-    cut = F.left(one, F.lit(CAPTION_CHARS))
-    at = F.locate(" ", F.reverse(cut))
-    return F.when(F.length(one) > CAPTION_CHARS, F.concat(F.when(at > 0, F.left(cut, F.length(cut) - at)).otherwise(cut), F.lit("…"))).otherwise(one)
+    def shortened(one: Column) -> Column:
+        cut = F.left(one, F.lit(CAPTION_CHARS))
+        at = F.locate(" ", F.reverse(cut))
+        return F.when(F.length(one) > CAPTION_CHARS, F.concat(F.when(at > 0, F.left(cut, F.length(cut) - at)).otherwise(cut), F.lit("…"))).otherwise(one)
+
+    return let(F.get(F.split(block, rf"(?<=[.!?]){S}+", 2), F.lit(0)), shortened)
 
 
 def has_caption_near(text: Column, name: Column, window: int = CAPTION_LINES) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from papyrine.functions.patterns import D, NS, S, first_of_each, lines, located, matches, rewrite, strip
+from papyrine.functions.patterns import D, NS, S, first_of_each, let, lines, located, matches, rewrite, strip
 from papyrine.operators.headings import bibliography
 
 _NAME = r"[A-Z][a-zA-Z'\-]+"
@@ -61,10 +61,13 @@ def snippet(text: Column, pos: Column, span: int = SPAN) -> Column:
 
     bounds = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
     moved = F.aggregate(bounds, F.struct(F.lit(0).alias("at"), start.cast("int").alias("start")), step, lambda a: a["start"])
-    kept = strip(F.substring(text, moved + 1, F.greatest(F.lit(0), end - moved)))
-    last = F.length(kept) - F.locate(".", F.reverse(kept))
-    kept = F.when(F.contains(kept, F.lit(".")) & (last > F.floor(F.length(kept) / 2)), F.substring(kept, F.lit(1), last + 1)).otherwise(kept)
-    return strip(rewrite(kept, [(f"{S}+", " ")]))
+    whole = strip(let(moved, lambda m: F.substring(text, m + 1, F.greatest(F.lit(0), end - m))))
+
+    def cut(kept: Column) -> Column:
+        last = F.length(kept) - F.locate(".", F.reverse(kept))
+        return F.when(F.contains(kept, F.lit(".")) & (last > F.floor(F.length(kept) / 2)), F.substring(kept, F.lit(1), last + 1)).otherwise(kept)
+
+    return strip(rewrite(let(whole, cut), [(f"{S}+", " ")]))
 
 
 def identifiers(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.functions.patterns import S, java, lines, matches, strip, strip_stars
+from papyrine.functions.patterns import S, java, let, lines, matches, strip, strip_stars
 from papyrine.operators.cleaning import clean_section
 from papyrine.operators.headings import HEADING, headings, is_banner, kind_pattern
 
@@ -113,13 +113,15 @@ def section_text(text: Column, section: Column) -> Column:
     """The section as a file of one top heading: its own title, further top headings one level down."""
     own = java(HEADING).replace("(?md)^", r"\A").replace("$", r"\z")
     rows = lines(strip(F.substring(text, section["start"] + 1, section["end"] - section["start"])))
-    heads = F.transform(rows, lambda x: x.rlike(own))
-    first = F.array_position(heads, F.lit(True))
-    kept = F.filter(
-        F.transform(rows, lambda x, i: F.when(i + 1 == first, F.lit(None).cast("string")).when(x.rlike(own) & (F.regexp_extract(x, own, 1) == "#"), F.concat(F.lit("## "), F.regexp_extract(x, own, 2))).otherwise(x)),
-        lambda x: x.isNotNull(),
-    )
-    body = F.array_join(F.concat(F.array(F.concat(F.lit("# "), section["title"]), F.lit("")), kept), "\n")
+
+    def shown(marked: Column) -> Column:
+        def kept(first: Column) -> Column:
+            return F.filter(F.transform(marked, lambda x, i: F.when(i + 1 != first, F.when(x["level"] == "#", F.concat(F.lit("## "), F.regexp_extract(x["line"], own, 2))).otherwise(x["line"]))), lambda x: x.isNotNull())
+
+        return let(F.array_position(F.transform(marked, lambda x: x["level"] != ""), F.lit(True)), kept)
+
+    told = let(F.transform(rows, lambda x: F.struct(x.alias("line"), F.regexp_extract(x, own, 1).alias("level"))), shown)
+    body = F.array_join(F.concat(F.array(F.concat(F.lit("# "), section["title"]), F.lit("")), told), "\n")
     return F.concat(F.regexp_replace(body, rf"{S}+\z", ""), F.lit("\n"))
 
 

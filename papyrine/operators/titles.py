@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.functions.patterns import D, S, extract_all, java, lines, matches, rewrite, strip, strip_stars
+from papyrine.functions.patterns import D, S, extract_all, java, let, lines, matches, rewrite, strip, strip_stars
 
 # Fixed values of the rules.
 SECTION_PREFIX = rf"(?i)\A(?:Judging Criterion|Section|Question|Annex|Part|Chapter|Appendix){S}+{D}"
@@ -25,8 +25,11 @@ SECTION_WORDS = ("abstract", "introduction", "methods", "results", "discussion",
 
 def rejection(title: Column) -> Column:
     """Why a title is not believed, null if it is."""
-    t = strip(title)
-    why = F.when(title.isNull() | (t == ""), F.lit("empty")).when(matches(t, SECTION_PREFIX), F.lit("matches section-prefix pattern"))
+    return let(F.coalesce(strip(title), F.lit("")), _rejection)
+
+
+def _rejection(t: Column) -> Column:
+    why = F.when(t == "", F.lit("empty")).when(matches(t, SECTION_PREFIX), F.lit("matches section-prefix pattern"))
     n = F.length(t)
     why = why.when(n < SHORTEST, F.concat(F.lit("too short ("), n.cast("string"), F.lit(" chars)")))
     why = why.when(n > LONGEST, F.concat(F.lit("too long ("), n.cast("string"), F.lit(" chars)")))
