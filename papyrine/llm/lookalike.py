@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Letters of the shape of a Latin letter, by script. Fixed values of their shapes.
-CYRILLIC = dict(zip("аеорсухіјѕԁһԛԝүАВЕКМНОРСТУХІЈЅԌԚԜҮ", "aeopcyxijsdhqwyABEKMHOPCTYXIJSGQWY"))
-GREEK = dict(zip("οΑΒΕΖΗΙΚΜΝΟΡΤΥΧϲϳ", "oABEZHIKMNOPTYXcj"))
+CYRILLIC = dict(zip("аеорсухіјѕԁһԛԝүѵӏАВЕКМНОРСТУХІЈЅԌԚԜҮѴӀ", "aeopcyxijsdhqwyvlABEKMHOPCTYXIJSGQWYVI"))
+GREEK = dict(zip("οΑΒΕΖΗΙΚΜΝΟΡΤΥΧϲϳνϹͿϺϜ", "oABEZHIKMNOPTYXcjvCJMF"))
 ARMENIAN = dict(zip("օսոհցՕՍ", "ounhgOU"))
 LOOKS = CYRILLIC | GREEK | ARMENIAN
 

@@ -99,6 +99,17 @@ def test_lookalikes(spark):
     assert rows(lookalike.unify(alone).select("text")) == [("сор cat",)]  # no other text has the word
 
 
+@pytest.mark.parametrize("letter, latin", [("ν", "v"), ("Ϲ", "C"), ("Ϳ", "J"), ("Ϻ", "M"), ("Ϝ", "F"), ("ѵ", "v"), ("Ѵ", "V"), ("ӏ", "l"), ("Ӏ", "I")])
+def test_letters_of_a_latin_shape(letter, latin):
+    assert lookalike.candidate(f"tur{letter}er", "LATIN") == f"tur{latin}er"
+    assert all(lookalike.candidate(f"{own}-chain", "LATIN") is None for own in "αβγδκ")
+
+
+def test_nu_for_v(spark):
+    df = spark.createDataFrame([("title", 1, "A reνiew of turnoνer"), ("title", 2, "A review of turnover")], "field string, id long, raw string")
+    assert rows(lookalike.lookalike_pairs(df)) == [("title", 1, 2)]
+
+
 # 5: pieces
 
 
