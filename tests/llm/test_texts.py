@@ -189,6 +189,31 @@ def test_page_values():
     assert scans.chain([(1, 5), (4, 90), (9, 6), (12, 7), (15, 9)]) == [1, 9, 12]
 
 
+def pages_of(*numbers):
+    """Line numbers of the pages found when each number stands after two lines of text."""
+    lines = [x for n in numbers for x in ("Some text of the page that goes on", "and on without an end", n)]
+    assert all(lines[i] in numbers for i in scans.furniture(lines)[0])
+    return [lines[i] for i in sorted(scans.furniture(lines)[0])]
+
+
+@pytest.mark.parametrize(
+    "numbers",
+    [("xxiii", "xxiv", "xxv", "i"), ("xxiv", "xxv", "i", "ii", "iii", "iv"), ("xxv", "i", "ii"), ("7", "8", "1", "2", "3"), ("12", "13", "15", "16"), ("4", "7", "8"), ("12", "13", "18", "15", "16"), ("5", "6", "— 31 —", "Page 77")],
+)
+def test_all_page_numbers(numbers):
+    assert pages_of(*numbers) == list(numbers)
+
+
+def test_page_numbers_beside_headers():
+    lines = "# A Title of Some Length\n\nText of it\n12\nmore text\n13  A TITLE OF SOME LENGTH\nlast text".split("\n")
+    assert scans.furniture(lines) == ({3}, {5})
+
+
+def test_other_numbers_stay():
+    assert pages_of("7", "8", "90", "9") == ["7", "8", "9"] and pages_of("90", "3") == [] and pages_of("42") == []
+    assert scans.furniture(["Axis", "2", "4", "6", "8", "text"])[0] == set()
+
+
 # 7: markup
 
 RESIDUE = ["a <b>c</b>", "x &amp; y", "<!-- image -->", "see [[Link|link]] here", "{{cite|1}} x", "the '''bold''' word", "== Title ==", r"\section{A}", r"a \textbf{b}", r"{\it c}", "<br/>", "(\\ref{f:1}) x"]
