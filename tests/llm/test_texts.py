@@ -184,6 +184,26 @@ def test_editor_on_held_out_words():
     assert right / total > 0.97
 
 
+def test_words_that_exist_are_kept(spark):
+    lines = [" ".join(random.Random(i).sample([*PROSE, "down", "tin"], len(PROSE) + 2)) for i in range(40)]
+    lines[3] += " clown fin"
+    lines[4] += " clown fin"
+    scanned = "The membrane moved clown during secre-\ntion of the protein and the signal was changed fin\nsome days becausc the rnembrane moved clovvn after\nthe signal and the tlle receptor returned withiri days."
+    papers = docs(spark, [*lines, scanned], text="marker_md").distinct()
+    once_only = docs(spark, ["down"] * 5 + ["clown"], text="marker_md")
+    assert scans.word_lists(papers, "doc_id", "marker_md")[1] == {"clown", "fin"} and not scans.word_lists(once_only, "doc_id", "marker_md")[1]
+    assert [x[1:] for x in rows(scans.scan_noise(papers))] == [(1, "hyphen"), (3, "misread"), (4, "misread")]
+    text = scans.mended(papers).first()["text"]
+    assert "moved clown during" in text and "changed fin some" in text and "because the membrane" in text and "within days" in text
+
+
+def test_editor_chooses_to_keep():
+    common = frozenset({"down", *PROSE})
+    editor = scans.train(common)
+    best = lambda *a: max(scans.alternatives("clown", common, *a), key=lambda x: editor.score(x[3]))[1:3]
+    assert best() == ("cl", "d") and best(frozenset({"clown"})) == ("", "")
+
+
 def test_page_values():
     assert [scans.page_value(x) for x in ("12", "xiv", "IX", "iv")] == [12, 14, 9, 4]
     assert scans.chain([(1, 5), (4, 90), (9, 6), (12, 7), (15, 9)]) == [1, 9, 12]
