@@ -2,8 +2,9 @@
 
 A full stop is ambiguous. Each document decides from its own unambiguous places first: a word whose
 stop is followed by a plain small-letter word, a comma or a semicolon is an abbreviation there, and a
-capitalised word that also occurs in small letters is no proper name. Where a document is silent, the
-same counts over the corpus decide, and a list of common abbreviations serves all.
+capitalised word that also occurs in small letters is no proper name. Where a document is silent about
+an abbreviation, the same counts over the corpus decide, and a list of common ones serves all; ordinary
+words are looked for in the document alone.
 """
 
 from __future__ import annotations
