@@ -53,7 +53,8 @@ def repeated_lines(docs: DataFrame, runs: DataFrame, doc: str = "doc_id", text:
 
     Masked lines are clustered within each source by locality-sensitive hashing; clusters of high
     document frequency are candidates, and a candidate is taken when its own form reaches the minimum
-    number and share of documents. Equal forms always share a cluster, so clustering loses none.
+    number and share of documents. Equal forms always share a cluster, so clustering loses none. Names are
+    not masked: lines that differ by a name are different forms.
 
     Lines travel as hashes of 128 bits, never as text, and are counted before each shuffle, so a source
     or a form that holds a third of all rows is a few partial counts per task. Null texts and documents
