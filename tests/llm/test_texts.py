@@ -234,6 +234,20 @@ def test_other_numbers_stay():
     assert scans.furniture(["Axis", "2", "4", "6", "8", "text"])[0] == set()
 
 
+MARKED = ["pg. {}", "Seite {}", "s. {}", "{} of 12", "{} von 12", "| {}", "• {} •", "-- {} --", "[({})]", "\t{}\u00a0", "{}\r", "{}\tA TITLE OF SOME LENGTH", "{} | A TITLE OF SOME LENGTH", "A TITLE OF SOME LENGTH|{}", "A TITLE OF SOME LENGTH\t{}", "iv  A TITLE OF SOME LENGTH"]
+
+
+def test_filter_passes_all_scanned_papers(spark):
+    papers = ["# A Title of Some Length\n" + "".join(f"the text of the page goes on and on here\nand goes on in small letters and does so\nuntil its end\n{form.format(n)}\n" for n in (3, 4)) for form in MARKED]
+    papers.append("the text of the page goes on with 2-\nhydroxy acids and others\n" * 3)
+    editor = scans.train(frozenset(PROSE))
+    expected = {i for i, t in enumerate(papers) if scans.Page(t, editor, frozenset(PROSE)).scanned}
+    found = {r["doc_id"] for r in docs(spark, papers, text="marker_md").where(scans._suspect(F.col("marker_md"))).collect()}
+    assert len(expected) >= len(MARKED) - 1 and expected <= found
+    clean = docs(spark, ["Plain text\n\n| a | 3 |\n|---|---|\nin 2010 we saw 3 mice\n\n---\n\nend", ""], text="marker_md")
+    assert rows(clean.where(scans._suspect(F.col("marker_md")))) == []
+
+
 # 7: markup
 
 RESIDUE = ["a <b>c</b>", "x &amp; y", "<!-- image -->", "see [[Link|link]] here", "{{cite|1}} x", "the '''bold''' word", "== Title ==", r"\section{A}", r"a \textbf{b}", r"{\it c}", "<br/>", "(\\ref{f:1}) x"]
