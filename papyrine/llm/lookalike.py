@@ -53,9 +53,13 @@ def plain(text: str) -> str:
 
 _LOOKS = str.maketrans(LOOKS)
 
-#: Letters to be looked at: the look-alikes, and those that are one of them with an accent.
-SUSPECT = "".join(c for c in map(chr, range(0x370, 0x590)) if unicodedata.normalize("NFD", c)[0] in LOOKS)
-_FOREIGN = re.compile(f"[{SUSPECT}]")
+#: Letters to be looked at: the look-alikes, those that are one of them with an accent, and all of the scripts whose words may hold Latin letters.
+_ALIKE = "".join(c for c in map(chr, range(0x370, 0x590)) if unicodedata.normalize("NFD", c)[0] in LOOKS)
+SUSPECT = "".join(c for c in _ALIKE if c < "Ѐ") + "Ѐ-\u058f"
+_FOREIGN = re.compile(f"[{_ALIKE}]")
+
+#: Script -> Latin letter -> its letter of that shape, the more usual one of two. Greek letters beside Latin ones are signs, not words.
+_BACK = {script: str.maketrans({latin: c for c, latin in reversed(looks.items())}) for script, looks in (("CYRILLIC", CYRILLIC), ("ARMENIAN", ARMENIAN))}
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -82,16 +86,26 @@ def candidate(token: str, around: str) -> str | None:
     return None
 
 
+def native(token: str) -> str | None:
+    """The token wholly in the script that its letters without a Latin shape are of; null if it has none or a Latin letter has no such shape."""
+    letters = _LETTER.findall(unicodedata.normalize("NFD", token))
+    own = {_script(c) for c in letters if c not in LOOKS} - {"LATIN"}
+    script = own.pop() if len(own) == 1 else ""
+    if script not in _BACK or any(_script(c) != script and ord(c) not in _BACK[script] for c in letters):
+        return None
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", token).translate(_BACK[script]))
+
+
 @F.pandas_udf(T.StringType())
 def _plain_udf(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else plain(t))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
 def _candidates_udf(text: pd.Series) -> pd.Series:
-    def of(t: str) -> list[str | None]:
+    def of(t: str) -> list[list[str | None]]:
         around = dominant_script(t)
-        return [candidate(token, around) for token in t.split(" ")]
+        return [[candidate(token, around), native(token)] for token in t.split(" ")]
 
     return text.map(of)
 
@@ -101,7 +115,8 @@ def unify(records: DataFrame) -> DataFrame:
 
     First every character is brought to its plain form. Then tokens that mix scripts, or stand in
     letters of another script within a Latin text, have their look-alike letters replaced when the
-    result occurs in the corpus vocabulary: as a token, in whatever spelling, of another text. ASCII
+    result occurs in the corpus vocabulary: as a token, in whatever spelling, of another text. A token
+    with Cyrillic or Armenian letters of a shape of their own has its Latin letters replaced instead. ASCII
     texts never leave the JVM. Only suspicious tokens meet the vocabulary, whose rows are reduced to
     their spellings before the shuffle, so frequent tokens are counted where they lie.
     """
@@ -111,15 +126,16 @@ def unify(records: DataFrame) -> DataFrame:
     foreign = F.col("_text").rlike(f"[{SUSPECT}]")
     clean = formed.where(~foreign)
     tokens = formed.where(foreign).select("field", "id", "raw", "_text", F.posexplode(F.arrays_zip(F.split("_text", " ", -1).alias("t"), _candidates_udf("_text").alias("c"))).alias("_at", "_z"))
-    tokens = tokens.select("field", "id", "raw", "_at", F.col("_z.t").alias("_token"), F.col("_z.c").alias("_cand"))
+    tokens = tokens.select("field", "id", "raw", "_at", F.col("_z.t").alias("_token"), F.col("_z.c")[0].alias("_cand"), F.col("_z.c")[1].alias("_native"))
 
-    wanted = tokens.where("_cand is not null").select(F.col("_cand").alias("_v")).distinct()
+    wanted = tokens.select(F.explode(F.array("_cand", "_native")).alias("_v")).where("_v is not null").distinct()
     of_text = F.xxhash64("field", "raw")
     spelled = clean.select(F.explode(F.split("_text", " ", -1)).alias("_v"), of_text.alias("_of"))
-    spelled = spelled.unionByName(tokens.select(F.coalesce("_cand", "_token").alias("_v"), of_text.alias("_of")))
+    spelled = spelled.unionByName(tokens.select(F.explode(F.array(F.coalesce("_cand", "_token"), "_native")).alias("_v"), of_text.alias("_of")).where("_v is not null"))
     vocabulary = spelled.join(wanted, "_v", "left_semi").groupBy("_v").agg(F.min("_of").alias("_lo"), F.max("_of").alias("_hi")).where("_lo <> _hi").select(F.col("_v").alias("_cand"), F.lit(True).alias("_known"))
-    chosen = F.when(F.col("_known"), F.col("_cand")).otherwise(F.col("_token"))
-    mended = tokens.join(vocabulary, "_cand", "left").groupBy("field", "id", "raw").agg(F.sort_array(F.collect_list(F.struct("_at", chosen.alias("_t")))).alias("_ts"))
+    natives = vocabulary.select(F.col("_cand").alias("_native"), F.col("_known").alias("_known_native"))
+    chosen = F.when(F.col("_known_native"), F.col("_native")).when(F.col("_known"), F.col("_cand")).otherwise(F.col("_token"))
+    mended = tokens.join(vocabulary, "_cand", "left").join(natives, "_native", "left").groupBy("field", "id", "raw").agg(F.sort_array(F.collect_list(F.struct("_at", chosen.alias("_t")))).alias("_ts"))
     mended = mended.select("field", "id", "raw", F.array_join(F.transform("_ts", lambda x: x["_t"]), " ").alias("text"))
     return clean.select("field", "id", "raw", F.col("_text").alias("text")).unionByName(mended)
 

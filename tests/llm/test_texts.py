@@ -110,6 +110,16 @@ def test_nu_for_v(spark):
     assert rows(lookalike.lookalike_pairs(df)) == [("title", 1, 2)]
 
 
+def test_latin_letters_in_words_of_another_script(spark):
+    same = [("делят клeтка", "делят клетка"), ("the клeтка in a Latin text", "the клетка in a Latin text"), ("здесь Бopщ", "здесь Борщ"), ("здесь бaрж", "здесь барж")]
+    other = [("здесь дом", "здесь дым"), ("здесь дzм", "здесь дзм")]
+    raw = [t for pair in same + other for t in pair]
+    df = spark.createDataFrame([("title", i, t) for i, t in enumerate(raw)], "field string, id long, raw string")
+    assert rows(lookalike.lookalike_pairs(df)) == sorted([("title", 2 * i, 2 * i + 1) for i in range(len(same))], key=repr)
+    assert {r["text"] for r in lookalike.unify(df).collect()} >= {b for _, b in same}
+    assert lookalike.native("үлкен") == "үлкен" and lookalike.native("сор") is None and lookalike.native("β-chain") is None
+
+
 # 5: pieces
 
 
