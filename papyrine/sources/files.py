@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 from papyrine.sources.filenames import sanitise
 
+#: Bytes of an image that mostly hold its size.
+HEAD = 65536
+
 DOCLING_META = "title string, headings array<struct<level int, text string>>, n_pages int, n_pictures int, n_tables int, n_texts int, saved_pictures array<string>, runtime_seconds double"
 
 
@@ -59,13 +62,17 @@ def images(spark: SparkSession, work: str) -> DataFrame:
     source = F.when(F.col("path").contains("/marker_out/"), "marker").otherwise("docling")
     ext = F.regexp_extract("path", r"\.([a-z]+)$", 1)
     order = F.when(source == "marker", F.array(F.lit("jpeg"), F.lit("jpg"), F.lit("png"))).otherwise(F.array(F.lit("png"), F.lit("jpeg"), F.lit("jpg")))
-    size = _size(F.substring("content", 1, 65536))
-    return files.select("path", source.alias("source"), F.array_position(order, ext).alias("rank"), size["w"].alias("w"), size["h"].alias("h"), F.when(size["w"].isNull(), F.lit("not an image")).alias("error"))
+    sized = files.withColumn("_size", _size(F.substring("content", 1, HEAD)))
+    # large segments may stand before the size; only such files travel whole
+    whole = _size(F.when(F.col("_size.w").isNull() & (F.length("content") > HEAD), F.col("content")))
+    sized = sized.withColumn("_whole", whole)
+    w, h = F.coalesce("_size.w", "_whole.w"), F.coalesce("_size.h", "_whole.h")
+    return sized.select("path", source.alias("source"), F.array_position(order, ext).alias("rank"), w.alias("w"), h.alias("h"), F.when(w.isNull(), F.lit("not an image")).alias("error"))
 
 
 @F.pandas_udf(T.StructType([T.StructField("w", T.IntegerType()), T.StructField("h", T.IntegerType())]))
 def _size(head: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([image_size(bytes(b)) for b in head], columns=["w", "h"]).astype("Int32")
+    return pd.DataFrame([image_size(b"" if b is None else bytes(b)) for b in head], columns=["w", "h"]).astype("Int32")
 
 
 def image_size(head: bytes) -> tuple[int | None, int | None]:

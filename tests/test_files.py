@@ -30,6 +30,13 @@ def test_sources(spark, tmp_path):
     assert sorted((r["marker_md"] or "", r["error"] or "") for r in files.extract(found, extractor).collect()) == [("", "extract_failed: broken"), ("# md", "")]
 
 
+def test_size_after_large_segments(spark, tmp_path):
+    (tmp_path / "marker_out/s").mkdir(parents=True)
+    (tmp_path / "marker_out/s/a.jpg").write_bytes(JPEG[:2] + (b"\xff\xe2" + (65535).to_bytes(2) + b"x" * 65533) * 2 + JPEG[2:])
+    (tmp_path / "marker_out/s/b.jpg").write_bytes(b"no" * 70000)
+    assert sorted((r["path"][-5:], r["w"], r["h"], r["error"]) for r in files.images(spark, str(tmp_path)).collect()) == [("a.jpg", 400, 300, None), ("b.jpg", None, None, "not an image")]
+
+
 def test_parsers(spark):
     df = spark.createDataFrame([("a=1\nb=x=y\nno\na=2", '{"title": "t", "headings": [{"level": 1, "text": "h"}]}', '{"page_stats": [1, 2]}'), (None, "{", '{"page_stats": {"n_pages": 7}}')], "kv string, meta string, marker string")
     got = df.select(files.key_values(F.col("kv")), files.docling_meta(F.col("meta"))["title"], files.page_count(F.col("marker"))).collect()
