@@ -35,3 +35,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only after counting; beyond ``max_rows`` the planner keeps a shuffled join."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The rows over all cores, where the files have fewer parts than the cluster has cores; otherwise as they lie.
+
+    Only tables that are small for the cluster are shuffled. ``key`` should be nearly unique.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
