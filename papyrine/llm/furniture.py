@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.llm.words import once
+from papyrine.operators.deliveries import once
 from papyrine.session import checkpoint
 
 LEAST_LENGTH, LEAST_PAPERS, LEAST_SHARE = 30, 4, 0.15

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.llm.words import once, window_hashes, words
+from papyrine.llm.words import window_hashes, words
+from papyrine.operators.deliveries import once
 from papyrine.session import broadcast_if_small
 
 #: Rows of the table of test windows up to which it is broadcast; a larger one is joined by a shuffle.

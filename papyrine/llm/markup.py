@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.llm.words import once
+from papyrine.operators.deliveries import once
 
 #: Evidence of residue in a line without code and formulas, and its cost in bits.
 EVIDENCE = [

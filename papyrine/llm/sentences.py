@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.llm.words import once
+from papyrine.operators.deliveries import once
 
 #: Common abbreviations, fixed values. Before a name or a number they never end a sentence.
 ALWAYS = frozenset(

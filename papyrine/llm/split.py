@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.llm.words import once
+from papyrine.operators.deliveries import once
 
 TEXT_LIMIT, TEXT_OVERLAP = 4000, 200
 HEADINGS_LIMIT, HEADINGS_OVERLAP = 1000, 100

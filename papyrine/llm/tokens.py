@@ -2,7 +2,8 @@
 
 DuckDB contracts the words inside each partition: rows of (word, position, token) meet the merge
 table, each word's pair of least rank is contracted, leftmost first, and the recursion ends when no
-pair of any word is in the table. Spark distributes the texts; a partition encodes each distinct word
+pair of any word is in the table. Rows stay in the order of the text, so that neighbours are found by
+streaming windows, without a sort. Spark distributes the texts; a partition encodes each distinct word
 of a batch once.
 """
 
@@ -11,11 +12,13 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.llm.words import once
+from papyrine.operators.deliveries import once
+from papyrine.session import spread
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -29,34 +32,31 @@ BYTES_AT_ONCE = 60_000
 CACHE_WORDS = 500_000
 
 CONTRACT = """
-with recursive state(step, w, pos, tok, done) as (
-  select 0, w, pos, tok, false from word_tokens
+with recursive state as (
+  select w, tok, false as done from word_tokens
   union all
-  select step + 1, w, pos, coalesce(new_tok, tok), best is null
-  from (
-    select *, lag(hit) over (partition by w order by pos) as after_hit
+  (
+    with met as materialized (
+      select s.w, s.tok, s.i, m.rank, m.id as new_id
+      from (
+        select w, tok, row_number() over () as i, case when lead(w) over () = w then tok::bigint * 65536 + lead(tok) over () end as pair
+        from state where not done
+      ) s left join merges m on m.pair = s.pair
+    ),
+    least as materialized (select w, min(rank) as best from met group by w)
+    select w, case when hit then new_id else tok end, best is null
     from (
-      select *, case when rank = best and odd % 2 = 1 then new_id end as new_tok, (rank = best and odd % 2 = 1) as hit
+      select *, lag(hit, 1, false) over () as after_hit
       from (
         -- in a run of overlapping pairs, as in "aaaa", every second one is contracted, from the left
-        select *, row_number() over (partition by w, rank is not distinct from best, island order by pos) as odd
-        from (
-          select *, i - row_number() over (partition by w, rank is not distinct from best order by i) as island
-          from (
-            select s.step, s.w, s.pos, s.tok, s.i, m.rank, m.id as new_id, min(m.rank) over (partition by s.w) as best
-            from (
-              select step, w, pos, tok, row_number() over (partition by w order by pos) as i,
-                     lead(tok) over (partition by w order by pos) as nxt
-              from state where not done
-            ) s left join merges m on m.a = s.tok and m.b = s.nxt
-          )
-        )
+        select *, coalesce(rank = best and (i - max(case when rank = best then 0 else i end) over (rows between unbounded preceding and current row)) % 2 = 1, false) as hit
+        from (select met.*, best from met left join least on met.w = least.w)
       )
     )
+    where not after_hit
   )
-  where after_hit is not true
 )
-select w, list(tok order by pos) as ids from state where done group by w
+select w, tok from state where done
 """
 
 
@@ -85,25 +85,37 @@ class PartitionEncoder:
         import regex
 
         self.split = regex.compile(PATTERN)
-        self.byte_ids = byte_ids
+        self.byte_ids = np.array(byte_ids, np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
-        self.db.execute("create table merges as select a::int as a, b::int as b, rank::int as rank, id::int as id from merges")
+        # one thread, and joins that keep their sides, leave the rows of the state in order
+        self.db.execute("set disabled_optimizers='join_order,build_side_probe_side'")
+        self.db.execute("create table merges as select a::bigint * 65536 + b as pair, rank::int as rank, id::int as id from merges")
         self.known: dict[str, list[int]] = {}
 
+    def _contract(self, part: list[bytes]) -> Iterator[tuple[int, list[int]]]:
+        """(number of the word, its ids) of each word."""
+        sizes = np.fromiter(map(len, part), np.int64, len(part))
+        word_tokens = pd.DataFrame({"w": np.repeat(np.arange(len(part), dtype=np.int32), sizes), "tok": self.byte_ids[np.frombuffer(b"".join(part), np.uint8)]})  # noqa: F841, read by the SQL
+        found = self.db.execute(CONTRACT).fetchnumpy()
+        order = np.argsort(found["w"], kind="stable")
+        w, tok = found["w"][order], found["tok"][order]
+        starts = np.flatnonzero(np.diff(w, prepend=-1))
+        for i, ids in zip(w[starts], np.split(tok, starts[1:])):
+            yield int(i), ids.tolist()
+
     def _learn(self, new: list[str]) -> None:
-        part: list[tuple[str, bytes]] = []
+        part: list[str] = []
+        coded: list[bytes] = []
         held = 0
         for word in [*new, None]:
-            coded = word.encode("utf-8") if word is not None else b""
-            if part and (word is None or held + len(coded) > BYTES_AT_ONCE):
-                rows = [(w, pos, self.byte_ids[b]) for w, (_, own) in enumerate(part) for pos, b in enumerate(own)]
-                word_tokens = pd.DataFrame(rows, columns=["w", "pos", "tok"]).astype("int32")  # noqa: F841, read by the SQL below
-                for w, ids in self.db.execute(CONTRACT).fetchall():
-                    self.known[part[w][0]] = ids
-                part, held = [], 0
+            own = word.encode("utf-8") if word is not None else b""
+            if part and (word is None or held + len(own) > BYTES_AT_ONCE):
+                self.known.update((part[i], ids) for i, ids in self._contract(coded))
+                part, coded, held = [], [], 0
             if word is not None:
-                part.append((word, coded))
-                held += len(coded)
+                part.append(word)
+                coded.append(own)
+                held += len(own)
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         if len(self.known) > CACHE_WORDS:
@@ -129,7 +141,7 @@ def encode(docs: DataFrame, doc: str = "doc_id", text: str = "text", tokenizers:
             yield pd.DataFrame({"_doc": batch["_doc"], "ids": encoder.encode(list(batch["_text"]))})
 
     src = once(docs, doc, text).select(F.col(doc).cast("bigint").alias("_doc"), F.col(text).alias("_text"))
-    return src.mapInPandas(run, "_doc bigint, ids array<int>").withColumnRenamed("_doc", doc)
+    return spread(src, "_doc").mapInPandas(run, "_doc bigint, ids array<int>").withColumnRenamed("_doc", doc)
 
 
 def decode(ids: DataFrame, doc: str = "doc_id", tokenizers: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
