@@ -336,10 +336,67 @@ SENTENCES = [
 ]
 
 
+def shuffled(seed, n):
+    """Documents of paragraphs in which the marked sentences stand in random order, with the sentences meant."""
+    draw = random.Random(seed)
+    out = []
+    for _ in range(n):
+        own = [s for _ in range(3) for s in draw.sample(SENTENCES[:2] + SENTENCES[3:6], 2)]
+        parts = [draw.sample([x.strip() for x in s.split("|")], s.count("|") + 1) for s in own]
+        out.append(("\n\n".join(" ".join(p) for p in parts), [x for p in parts for x in p]))
+    return out
+
+
+@pytest.fixture(scope="module")
+def told(spark):
+    df = docs(spark, [t for t, _ in shuffled(1, 150)] + ["|".join(SENTENCES).replace("|", "\n\n")] * 30)
+    kinds = sentences.corpus_abbreviations(df).collect()
+    return sentences._corpus([(r["word"], r["kind"]) for r in kinds], frozenset(r["word"] for r in sentences.usual_starts(df).collect()))
+
+
+def test_corpus_evidence(told):
+    assert {"dr", "проф", "стр", "sect"} <= told.never and {"vs", "см"} <= told.other and "h" in told.may and not {"etc", "yeast", "end", "added", "spät"} & (told.never | told.may | told.other)
+
+
 @pytest.mark.parametrize("marked", SENTENCES)
-def test_sentences(marked):
+def test_sentences(marked, told):
     text = marked.replace("|", "")
-    assert [text[a:b] for a, b in sentences.Splitter(text).spans()] == [s.strip() for s in marked.split("|")]
+    assert [text[a:b] for a, b in sentences.Splitter(text, told).spans()] == [s.strip() for s in marked.split("|")]
+
+
+def right_share(corpus, blind=False):
+    right = total = 0
+    for text, meant in shuffled(2, 40):
+        splitter = sentences.Splitter(text, corpus)
+        if blind:
+            splitter.inside, splitter.last, splitter.small_words = set(), set(), set()
+        got = [text[a:b] for a, b in splitter.spans()]
+        total, right = total + len(meant), right + sum(1 for x in meant if x in got)
+    return right / total
+
+
+def test_evidence_decides(told):
+    assert right_share(told) > 0.99 and right_share(sentences.Corpus()) < 0.7 and right_share(sentences.Corpus(), blind=True) < 0.7
+
+
+def test_document_comes_before_the_corpus():
+    text = "Keep the abz. low, and the abz. high. The abz. It was so."
+    ends = lambda c: [text[a:b] for a, b in sentences.Splitter(text, c).spans()]
+    assert ends(sentences.Corpus())[1] == "The abz. It was so."
+    assert ends(sentences.Corpus(starts=frozenset({"It"})))[1:] == ["The abz.", "It was so."]
+
+
+def test_long_texts_without_ends_take_linear_time():
+    import time
+
+    def took(n):
+        start = time.perf_counter()
+        for text in ("word vs. " * n, '"open ' * n, "„open " * n, "ก ข" * n, "a.a" * n):
+            sentences.Splitter(text, sentences.Corpus(never=frozenset({"vs"}))).spans()
+        return time.perf_counter() - start
+
+    took(500)
+    assert took(16_000) < 12 * took(4_000) + 0.5
 
 
 def test_sentence_rows(spark):
