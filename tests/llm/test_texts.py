@@ -329,13 +329,49 @@ RESIDUE = ["a <b>c</b>", "x &amp; y", "<!-- image -->", "see [[Link|link]] here"
 CLEAN = ["3 < 5 and n > 4, R&D for $5 to $9", "`<div>` and `\\textbf`", r"$E = \frac{a}{b}$ holds", r"$$ \sqrt{2} $$", "[link](x) *a* **b**", "| a | b |", "> quote", "it's, isn't", "[1] [a][b]", "# Head", "a == b", "a & b; c"]
 
 
+RESIDUE_OF = markup.Classifier.fitted(["Loss of the protein was seen in 3 % of the cells", "| a | b |", "Smith & Jones wrote", "* one", "# Title"])
+
+
+def residue_of(text, **more):
+    return markup.residue_lines(text, RESIDUE_OF, **more)
+
+
 def test_residue_lines():
     for line in RESIDUE:
-        assert markup.residue_lines(f"before\n\n{line}\n\nafter") == [3], line
+        assert residue_of(f"before\n\n{line}\n\nafter") == [3], line
     for line in CLEAN:
-        assert markup.residue_lines(f"before\n\n{line}\n\nafter") == [], line
-    assert markup.residue_lines("```\n<b>x</b>\n```\n<i>y</i>\n$$\n\\alpha\n$$") == [4]
-    assert markup.residue_lines("<!-- a\nb\n-->\nc") == [1, 2, 3]
+        assert residue_of(f"before\n\n{line}\n\nafter") == [], line
+    assert residue_of("```\n<b>x</b>\n```\n<i>y</i>\n$$\n\\alpha\n$$") == [4]
+
+
+@pytest.mark.parametrize(
+    "block, alone",
+    [
+        ("<!-- a\nb\nc d\ne\nf\ng\n-->", [1, 7]),
+        ("{| class=wikitable\n! one\n! two\n|-\n| a\n| b\n|}", [1, 4, 7]),
+        ("\\begin{tabular}{ll}\na & b \\\\\nc & d\n\\end{tabular}", [1, 2, 4]),
+    ],
+)
+def test_the_cut_takes_doubtful_lines(block, alone):
+    """Lines that say little by themselves go with what they stand in; without the edges of the graph they are lost."""
+    n = block.count("\n") + 1
+    text = f"{block}\n\n| a | b |\n|---|---|\n\nSmith & Jones\n\n! no\n\n<div>\nplain words\n</div>"
+    tags = [n + 9, n + 11]
+    assert residue_of(text) == [*range(1, n + 1), *tags]
+    assert residue_of(text, tied=False) == [*alone, *tags]
+
+
+def test_open_comments_take_linear_time():
+    import time
+
+    def took(n):
+        start = time.perf_counter()
+        for text in ("<!-- x\n" * n, "<!-- x\n" * n + "-->", "<b>\n" * n, "</b>\n" * n, "<i>\n</b>\n" * n, "{|\n" * n, "<table>\n" * n + "x\n" * n + "</table>\n" * n, "<table>\n" + "x\n" * n + "</table>"):
+            residue_of(text)
+        return time.perf_counter() - start
+
+    took(200)
+    assert took(8_000) < 12 * took(2_000) + 0.5
 
 
 def test_minimum_cut_against_all_cuts():
@@ -350,7 +386,9 @@ def test_minimum_cut_against_all_cuts():
 
 def test_clean_keeps_structure(spark):
     text = "<h2>Head</h2>\n\n<ul>\n<li>one</li>\n<li>two\n</ul>\n\n<table><tr><td>a</td><td>1</td></tr><tr><td>b</td><td>2</td></tr></table>\n\n```\n<b>\n```\n\n\\begin{itemize}\n\\item x &amp; y\n\\end{itemize}\n\n$a<b$ and [[A|b]]"
-    assert markup.clean(text) == "## Head\n\n- one\n- two\n\n| a | 1 |\n|---|---|\n| b | 2 |\n\n```\n<b>\n```\n\n- x & y\n\n$a<b$ and b"
+    assert markup.clean(text, RESIDUE_OF) == "## Head\n\n- one\n- two\n\n| a | 1 |\n|---|---|\n| b | 2 |\n\n```\n<b>\n```\n\n- x & y\n\n$a<b$ and b"
+    kept = "two  spaces\xa0here &\n\n<i>x</i>\n\nand  here"
+    assert markup.clean(kept, RESIDUE_OF) == kept.replace("<i>x</i>", "*x*")  # what is not labelled stays letter by letter
     df = spark.createDataFrame([(1, "<i>x</i>", None, "c"), (2, None, "", "c"), (3, "plain", "&lt;", "c")] * 2, "doc_id long, marker_md string, docling_md string, field string")
     assert rows(markup.residue(df)) == [("docling_md", 3, 1), ("marker_md", 1, 1)]
     assert rows(markup.cleaned(df)) == [("docling_md", 2, ""), ("docling_md", 3, "<"), ("marker_md", 1, "*x*"), ("marker_md", 3, "plain")]
