@@ -37,6 +37,19 @@ def test_repeated_lines(spark):
     assert rows(furniture.repeated_lines(three, runs)) == []
 
 
+def test_near_duplicate_lines(spark):
+    """Lines that differ by names, dates or a word recur as clusters, of which no form is frequent; others of the kind stay."""
+    draw = random.Random(2)
+    name = lambda: "".join(draw.choices("abcdefg", k=7)).capitalize()
+    byline = lambda i: f"Edited on {i % 27 + 1} {draw.choice(['March', 'June'])} 2{i:03d} by {name()} {name()} and approved by the board of this journal for open use by {name()}"
+    own = lambda: " ".join(draw.sample(PROSE, 9))
+    texts = [f"{own()}\n{byline(i)}\n{own()}" for i in range(30)]
+    papers, runs = docs(spark, texts, text="marker_md"), spark.createDataFrame([(i, "J") for i in range(30)], "doc_id long, journal string")
+    assert rows(furniture.repeated_lines(papers, runs)) == []
+    cleaned = {r["doc_id"]: r["marker_md"] for r in furniture.without_repeated_lines(papers, runs).collect()}
+    assert cleaned == {i: "\n".join(t.split("\n")[::2]) for i, t in enumerate(texts)}
+
+
 # 3: near-duplicates
 
 
