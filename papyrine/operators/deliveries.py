@@ -28,3 +28,16 @@ def once(df: DataFrame, key: str, *columns: str) -> DataFrame:
         return kept.dropDuplicates([key])
     again = F.broadcast(repeated)
     return kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates([key]))
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows where few are repeated: rows are counted by a hash, and only those whose hash comes several times are shuffled."""
+    keyed = df.withColumn("_row", F.xxhash64(*df.columns))
+    repeated = keyed.groupBy("_row").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_row")
+    n = repeated.limit(MAX_REPEATED + 1).count()
+    if n == 0:
+        return df
+    if n > MAX_REPEATED:
+        return df.distinct()
+    again = F.broadcast(repeated)
+    return keyed.join(again, "_row", "left_anti").unionByName(keyed.join(again, "_row", "left_semi").distinct()).drop("_row")
