@@ -12,6 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from papyrine.operators.deliveries import distinct_rows
+from papyrine.session import broadcast_if_small, checkpoint, spread
+
+#: Words, and keys of texts, up to which they are broadcast.
+MAX_BROADCAST = 1_000_000
+
 #: Letters of the shape of a Latin letter, by script. Fixed values of their shapes.
 CYRILLIC = dict(zip("аеорсухіјѕԁһԛԝүѵӏАВЕКМНОРСТУХІЈЅԌԚԜҮѴӀ", "aeopcyxijsdhqwyvlABEKMHOPCTYXIJSGQWYVI"))
 GREEK = dict(zip("οΑΒΕΖΗΙΚΜΝΟΡΤΥΧϲϳνϹͿϺϜ", "oABEZHIKMNOPTYXcjvCJMF"))
@@ -101,54 +107,90 @@ def _plain_udf(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else plain(t))
 
 
+def repairs(token: str, around: str) -> list[str | None]:
+    """Up to two forms of a token to be tried in turn: towards the script of most of its own letters first."""
+    latin, own = candidate(token, around), native(token)
+    first = [latin, own] if dominant_script(token) == "LATIN" else [own, latin]
+    forms = [x for x in dict.fromkeys(first) if x is not None]
+    return [*forms, None, None][:2]
+
+
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def _candidates_udf(text: pd.Series) -> pd.Series:
+def _repairs_udf(text: pd.Series) -> pd.Series:
     def of(t: str) -> list[list[str | None]]:
         around = dominant_script(t)
-        return [[candidate(token, around), native(token)] for token in t.split(" ")]
+        return [repairs(token, around) for token in t.split(" ")]
 
     return text.map(of)
 
 
+def _formed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows in plain form that need no repair, other ones with their tokens' repairs), each ``field, id, raw, text`` once.
+
+    ASCII texts are in plain form already and never leave the JVM; the others, a small part, are brought
+    to it once.
+    """
+    src = distinct_rows(records.select("field", "id", "raw").where("raw is not null and id is not null"))
+    ascii_only = F.col("raw").rlike(r"\A[\x00-\x7F]*\z")
+    formed = spread(src.where(~ascii_only), "id").select("field", "id", "raw", _plain_udf("raw").alias("text"))
+    foreign = F.col("text").rlike(f"[{SUSPECT}]")
+    formed = checkpoint(formed.select("*", F.when(foreign, _repairs_udf("text")).alias("_repairs")))
+    as_they_are = src.where(ascii_only).select("field", "id", "raw", F.col("raw").alias("text"))
+    return as_they_are.unionByName(formed.where("_repairs is null").drop("_repairs")), formed.where("_repairs is not null")
+
+
+def _mended(clean: DataFrame, foreign: DataFrame) -> DataFrame:
+    """The foreign rows with the repairs that the vocabulary of the corpus knows: tokens of another text, in whatever spelling.
+
+    Only tokens that have a repair meet the vocabulary, and of it only the words that are asked for, each
+    reduced to the texts that have it before the shuffle.
+    """
+    tokens = foreign.select("field", "id", "raw", F.posexplode(F.arrays_zip(F.split("text", " ", -1).alias("t"), F.col("_repairs").alias("c"))).alias("_at", "_z"))
+    tokens = tokens.select("field", "id", "raw", "_at", F.col("_z.t").alias("_token"), F.col("_z.c")[0].alias("_first"), F.col("_z.c")[1].alias("_second"))
+    asked = tokens.select(F.explode(F.array("_first", "_second")).alias("_v")).where("_v is not null").distinct()
+    of_text = F.xxhash64("field", "raw")
+    spelled = clean.select(F.explode(F.split("text", " ", -1)).alias("_v"), of_text.alias("_of"))
+    spelled = spelled.unionByName(tokens.select(F.explode(F.array(F.coalesce("_first", "_token"), "_second")).alias("_v"), of_text.alias("_of")).where("_v is not null"))
+    known = spelled.join(broadcast_if_small(asked, MAX_BROADCAST), "_v", "left_semi").groupBy("_v").agg(F.min("_of").alias("_lo"), F.max("_of").alias("_hi")).where("_lo <> _hi").select("_v")
+    known = checkpoint(known)
+    repaired = tokens.where("_first is not null")
+    for column in ("_first", "_second"):
+        found = broadcast_if_small(known.select(F.col("_v").alias(column), F.lit(True).alias(f"{column}_known")), MAX_BROADCAST)
+        without = repaired.where(F.col(column).isNull()).withColumn(f"{column}_known", F.lit(None).cast("boolean"))
+        repaired = repaired.where(F.col(column).isNotNull()).join(found, column, "left").unionByName(without)
+    chosen = F.when(F.col("_first_known"), F.col("_first")).when(F.col("_second_known"), F.col("_second")).otherwise(F.col("_token"))
+    parts = tokens.where("_first is null").select("field", "id", "raw", "_at", F.col("_token").alias("_t")).unionByName(repaired.select("field", "id", "raw", "_at", chosen.alias("_t")))
+    whole = parts.groupBy("field", "id", "raw").agg(F.sort_array(F.collect_list(F.struct("_at", "_t"))).alias("_ts"))
+    return whole.select("field", "id", "raw", F.array_join(F.transform("_ts", lambda x: x["_t"]), " ").alias("text"))
+
+
 def unify(records: DataFrame) -> DataFrame:
     """``field, id, raw`` -> ``field, id, raw, text`` in one form, each (field, id, raw) once; null texts are left out.
 
     First every character is brought to its plain form. Then tokens that mix scripts, or stand in
-    letters of another script within a Latin text, have their look-alike letters replaced when the
-    result occurs in the corpus vocabulary: as a token, in whatever spelling, of another text. A token
-    with Cyrillic or Armenian letters of a shape of their own has its Latin letters replaced instead. ASCII
-    texts never leave the JVM. Only suspicious tokens meet the vocabulary, whose rows are reduced to
-    their spellings before the shuffle, so frequent tokens are counted where they lie.
+    letters of another script within a Latin text, have their look-alike letters replaced, towards the
+    script of most of their letters first, when the result occurs in the corpus vocabulary.
     """
-    src = records.select("field", "id", "raw").where("raw is not null and id is not null").distinct()
-    ascii_only = r"\A[\x00-\x7F]*\z"
-    formed = src.select("field", "id", "raw", F.when(F.col("raw").rlike(ascii_only), F.col("raw")).otherwise(_plain_udf("raw")).alias("_text"))
-    foreign = F.col("_text").rlike(f"[{SUSPECT}]")
-    clean = formed.where(~foreign)
-    tokens = formed.where(foreign).select("field", "id", "raw", "_text", F.posexplode(F.arrays_zip(F.split("_text", " ", -1).alias("t"), _candidates_udf("_text").alias("c"))).alias("_at", "_z"))
-    tokens = tokens.select("field", "id", "raw", "_at", F.col("_z.t").alias("_token"), F.col("_z.c")[0].alias("_cand"), F.col("_z.c")[1].alias("_native"))
-
-    wanted = tokens.select(F.explode(F.array("_cand", "_native")).alias("_v")).where("_v is not null").distinct()
-    of_text = F.xxhash64("field", "raw")
-    spelled = clean.select(F.explode(F.split("_text", " ", -1)).alias("_v"), of_text.alias("_of"))
-    spelled = spelled.unionByName(tokens.select(F.explode(F.array(F.coalesce("_cand", "_token"), "_native")).alias("_v"), of_text.alias("_of")).where("_v is not null"))
-    vocabulary = spelled.join(wanted, "_v", "left_semi").groupBy("_v").agg(F.min("_of").alias("_lo"), F.max("_of").alias("_hi")).where("_lo <> _hi").select(F.col("_v").alias("_cand"), F.lit(True).alias("_known"))
-    natives = vocabulary.select(F.col("_cand").alias("_native"), F.col("_known").alias("_known_native"))
-    chosen = F.when(F.col("_known_native"), F.col("_native")).when(F.col("_known"), F.col("_cand")).otherwise(F.col("_token"))
-    mended = tokens.join(vocabulary, "_cand", "left").join(natives, "_native", "left").groupBy("field", "id", "raw").agg(F.sort_array(F.collect_list(F.struct("_at", chosen.alias("_t")))).alias("_ts"))
-    mended = mended.select("field", "id", "raw", F.array_join(F.transform("_ts", lambda x: x["_t"]), " ").alias("text"))
-    return clean.select("field", "id", "raw", F.col("_text").alias("text")).unionByName(mended)
+    clean, foreign = _formed(records)
+    return clean.unionByName(_mended(clean, foreign))
 
 
 def lookalike_pairs(records: DataFrame) -> DataFrame:
     """``field, id_a, id_b`` of records in one unified form that differ in a code point, id_a < id_b.
 
-    Forms with a single spelling are dropped by a pre-aggregated comparison, so groups of exact copies
-    never meet; a form with several spellings yields exactly its pairs of different spellings.
+    Of two such records at least one was changed, so only texts equal to the form of a changed record are
+    looked at. Spellings are paired first, each once, so that copies of one spelling never meet; their
+    records follow because the result lists them.
     """
-    unified = unify(records)
-    several = unified.groupBy("field", "text").agg(F.min("raw").alias("_lo"), F.max("raw").alias("_hi")).where("_lo <> _hi").select("field", "text")
-    some = unified.join(several, ["field", "text"], "left_semi")
-    a = some.select("field", "text", F.col("id").alias("id_a"), F.col("raw").alias("_ra"))
-    b = some.select("field", "text", F.col("id").alias("id_b"), F.col("raw").alias("_rb"))
-    return a.join(b, ["field", "text"]).where("id_a < id_b and _ra <> _rb").select("field", "id_a", "id_b").distinct()
+    clean, foreign = _formed(records)
+    mended = checkpoint(_mended(clean, foreign))
+    key = F.xxhash64("field", "text").alias("_key")
+    changed = clean.unionByName(mended).where("raw <> text").select(key).distinct()
+    some = clean.unionByName(mended).withColumn("_key", key).join(broadcast_if_small(changed, MAX_BROADCAST), "_key", "left_semi")
+    some = checkpoint(some.select("field", "text", "raw", "id").distinct())
+    spellings = some.select("field", "text", "raw").distinct()
+    a, b = (spellings.select("field", "text", F.col("raw").alias(f"_r{x}")) for x in "ab")
+    pairs = a.join(b, ["field", "text"]).where("_ra < _rb").select("field", "text", "_ra", "_rb")
+    for x in "ab":
+        pairs = pairs.join(some.select("field", "text", F.col("raw").alias(f"_r{x}"), F.col("id").alias(f"_i{x}")), ["field", "text", f"_r{x}"])
+    return pairs.where("_ia <> _ib").select("field", F.least("_ia", "_ib").alias("id_a"), F.greatest("_ia", "_ib").alias("id_b")).distinct()
