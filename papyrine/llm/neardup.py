@@ -22,12 +22,15 @@ from papyrine.session import broadcast_if_small, checkpoint
 #: Bits of a bitmap for each shingle of its set, at least; widths are powers of two.
 BITS_PER_SHINGLE = 2
 
-#: Rows of a tile above which it is cut into blocks that meet pairwise in different tasks.
-TILE_ROWS = 1024
+#: Records of a shingle above which its tile is cut into tiles of two shingles, and above which such a tile is cut into blocks that meet pairwise in different tasks.
+TILE_ROWS, BLOCK_ROWS = 1024, 8192
 
 #: Standard deviations by which the shared part of two sketches may fall short; 4.5 miss about three pairs in a million at the threshold, fewer above it.
 DEVIATIONS = 4.5
 
+#: Size of sketch that holds every set whole.
+EVERY = 1 << 40
+
 #: Pairs held at a time while a tile is compared.
 PAIRS_AT_ONCE = 200_000
 
@@ -129,8 +132,23 @@ def _candidates(sets: DataFrame, threshold: float) -> DataFrame:
     shared = tokens.join(common, "tok").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("toks"))
     facts = sets.select("id", "n", F.size("sketch").alias("m"), "prefix", "bits")
     # shingles of one record only come first in the order of rarity and meet nobody, so they use up the prefix
-    held = shared.join(facts, "id").select("id", "n", "bits", F.slice("toks", 1, F.greatest(F.lit(0), F.col("prefix") - F.col("m") + F.size("toks"))).alias("toks"))
-    rows = held.select("id", "n", "bits", F.explode("toks").alias("t")).select("id", "n", "bits", F.col("t.tok").alias("tok"), F.ceil(F.col("t.df") / TILE_ROWS).cast("int").alias("blocks"))
+    length = F.greatest(F.lit(0), F.col("prefix") - F.col("m") + F.size("toks"))
+    held = shared.join(facts, "id").where(length > 0).select("id", "n", "bits", length.alias("length"), F.slice("toks", 1, length + 1).alias("toks"))
+    tile = lambda key, df, rows: F.struct(key.alias("tok"), F.ceil(df / rows).cast("int").alias("blocks"))
+
+    def tiles(t: Column, i: Column) -> Column:
+        """The tile of a rare shingle, or those of a common one with each later shingle of the prefix that is longer by one.
+
+        Similar sets share two shingles there, and the first of them in both prefixes; so no pair is lost.
+        """
+        own = F.array(tile(t["tok"], t["df"], BLOCK_ROWS))
+        if threshold <= 0.5:  # sets might share one shingle only
+            return own
+        rest = F.slice("toks", i + 2, F.greatest(F.size("toks"), F.lit(1)))
+        return F.when(t["df"] <= TILE_ROWS, own).otherwise(F.transform(rest, lambda y: tile(F.xxhash64(t["tok"], y["tok"]), t["df"], BLOCK_ROWS)))
+
+    meets = F.array_distinct(F.flatten(F.transform(F.slice("toks", 1, F.col("length")), tiles)))
+    rows = held.select("id", "n", "bits", F.explode(meets).alias("t")).select("id", "n", "bits", "t.tok", "t.blocks")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("tok", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "n", "id", "bits")
@@ -178,14 +196,15 @@ def _classes(items: DataFrame, threshold: float, k: int) -> tuple[DataFrame, Dat
     return members, _verify(checkpoint(_candidates(firsts, threshold)), items, threshold)
 
 
-def similar_pairs(items: DataFrame, threshold: float, k: int) -> DataFrame:
+def similar_pairs(items: DataFrame, threshold: float, k: int = EVERY) -> DataFrame:
     """``id_a, id_b``, id_a < id_b, of all records of ``id, hashes`` whose sets have at least ``threshold`` of their union in common.
 
     Records without shingles (null, empty or too short texts) are similar to none. Equal sets form one
     class that takes part once, so hot groups of copies never fill a tile; their pairs are listed at the
-    end because the result asks for them. Sets of up to ``k`` shingles are searched exactly; larger ones
-    through their ``k`` least hashes, see ``DEVIATIONS``. No tile, partner or candidate is capped: a tile
-    beyond ``TILE_ROWS`` is compared in blocks by different tasks.
+    end because the result asks for them. Sets of up to ``k`` shingles, or all without ``k``, are searched
+    exactly; larger ones through their ``k`` least hashes, see ``DEVIATIONS``. No tile, partner or candidate
+    is capped: a tile beyond ``TILE_ROWS`` is cut by second shingles, and beyond ``BLOCK_ROWS`` compared in
+    blocks by different tasks.
     """
     members, links = _classes(items, threshold, k)
     a = members.select(F.col("rep").alias("a"), F.col("id").alias("ia"))
@@ -195,7 +214,7 @@ def similar_pairs(items: DataFrame, threshold: float, k: int) -> DataFrame:
     return linked.unionByName(copies).where("ia <> ib").select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b")).distinct()
 
 
-def groups(items: DataFrame, threshold: float, k: int) -> DataFrame:
+def groups(items: DataFrame, threshold: float, k: int = EVERY) -> DataFrame:
     """``id, group_id, n_links`` of every record with shingles.
 
     The group is the connected component, named by its least id; ``n_links`` counts the other classes

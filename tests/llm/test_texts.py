@@ -60,6 +60,7 @@ def brute(sets, threshold):
 @pytest.mark.parametrize("tile", [1024, 3])
 def test_similar_pairs_brute_force(spark, monkeypatch, tile):
     monkeypatch.setattr(neardup, "TILE_ROWS", tile)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", tile + 2)
     draw = random.Random(5)
     vocabulary = [f"w{i}" for i in range(60)]
     texts = [None, "", "one two"]
@@ -73,7 +74,7 @@ def test_similar_pairs_brute_force(spark, monkeypatch, tile):
             texts.append(" ".join(copy).upper())
     items = docs(spark, texts).select(F.col("doc_id").alias("id"), words(F.col("text")).alias("ws")).select("id", window_hashes(F.col("ws"), 3).alias("hashes"))
     sets = {i: {tuple(w[k : k + 3]) for k in range(len(w) - 2)} for i, t in enumerate(texts) for w in [re.findall(r"[^\W_]+", (t or "").lower())]}
-    for k in (96, 512):
+    for k in (96, neardup.EVERY):
         assert [tuple(r) for r in neardup.similar_pairs(items, 0.6, k).orderBy("id_a", "id_b").collect()] == brute(sets, 0.6)
     if tile == 3:
         return
