@@ -54,32 +54,45 @@ def prefix_pattern(fields: Sequence[Field], k: int) -> str:
     return r"\A" + ",".join(f.pattern for f in fields[:k]) + ("," if k < len(fields) else r"\z")
 
 
-def _value(raw: Column, fields: Sequence[Field], k: int) -> Column:
+#: Runs of digits that may be too long for a number.
+LONG = r"[0-9]{10}"
+
+
+def _text(raw: Column, fields: Sequence[Field], k: int) -> Column:
     groups = ",".join(f"({f.pattern})" if i == k else f.pattern for i, f in enumerate(fields))
     text = F.regexp_extract(raw, r"\A" + groups + r"\z", 1)
     quoted = text.startswith('"')
-    text = F.when(quoted, F.replace(text.substr(F.lit(2), F.length(text) - 2), F.lit('""'), F.lit('"'))).otherwise(text)
+    return F.when(quoted, F.replace(text.substr(F.lit(2), F.length(text) - 2), F.lit('""'), F.lit('"'))).otherwise(text)
+
+
+def _value(raw: Column, fields: Sequence[Field], k: int) -> Column:
+    text = _text(raw, fields, k)
     return text if fields[k].type == "string" else text.try_cast(fields[k].type)
 
 
 def reason(raw: Column, fields: Sequence[Field]) -> Column:
-    """Why a record is refused: ``null``, ``blank``, ``field k: name``, ``fields missing after k`` or ``trailing text``; null if it is good."""
+    """Why a record is refused: ``null``, ``blank``, ``fields missing after k``, ``field k: name`` (the first that is broken, or beyond its type) or ``more than k fields``; null if it is good."""
     fits = F.when(raw.isNull(), F.lit("null")).when(~raw.rlike(r"[^\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"), F.lit("blank"))
-    fits = fits.when(raw.rlike(record_pattern(fields)), F.lit(None).cast("string"))
+    good = raw.rlike(record_pattern(fields))
+    # only a long run of digits can be beyond the range of a type
+    fits = fits.when(good & ~raw.rlike(LONG), F.lit(None).cast("string"))
+    for k, f in enumerate(fields):
+        if f.type != "string":
+            fits = fits.when(good & (_text(raw, fields, k) != "") & _value(raw, fields, k).isNull(), F.lit(f"field {k + 1}: {f.name} beyond the range of {f.type}"))
+    fits = fits.when(good, F.lit(None).cast("string"))
     for k in range(1, len(fields)):
         short = r"\A" + ",".join(f.pattern for f in fields[:k]) + r"\z"
         fits = fits.when(raw.rlike(short), F.lit(f"fields missing after {k}"))
         fits = fits.when(~raw.rlike(prefix_pattern(fields, k)), F.lit(f"field {k}: {fields[k - 1].name}"))
-    last = len(fields)
-    starts = r"\A" + ",".join(f.pattern for f in fields)
-    return fits.when(raw.rlike(starts), F.lit(f"trailing text after field {last}")).otherwise(F.lit(f"field {last}: {fields[-1].name}"))
+    more = r"\A" + ",".join(f.pattern for f in fields) + ","
+    return fits.when(raw.rlike(more), F.lit(f"more than {len(fields)} fields")).otherwise(F.lit(f"field {len(fields)}: {fields[-1].name}"))
 
 
 def load_records(df: DataFrame, key: str, raw: str, fields: Sequence[Field] = TABLE_AUDIT) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into (good rows, broken rows), each key once however often it was delivered.
 
-    Good: the key and the typed fields; empty numbers become null, a number beyond its type's range null.
-    Broken: the key, the raw text and the reason. Null and blank records are broken. An empty table
+    Good: the key and the typed fields; empty numbers become null. Broken: the key, the raw text and the
+    reason. Null and blank records are broken, and so are numbers that their type cannot take. An empty table
     gives two empty results. Columns other than ``key`` and ``raw`` are ignored, whatever their names.
     Everything is a projection of the scan; the only shuffle removes repeated deliveries.
     """
