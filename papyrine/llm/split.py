@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,11 +20,12 @@ HEADINGS_LIMIT, HEADINGS_OVERLAP = 1000, 100
 #: Words on either side of a gap whose vocabularies are compared.
 BLOCK = 60
 
-#: A cut lies in the last part of the window, so that pieces are not needlessly short.
-LEAST_FILL = 0.5
+#: A cut lies beyond this part of the window, so that pieces are no slivers.
+LEAST_FILL = 0.25
 
-#: Where a text pauses, from the strongest kind to the weakest; a match ends where the next piece may begin.
-PAUSES = [re.compile(p) for p in (r"\n[^\S\n]*\n\s*", r"\n", r"[.!?][\"'”’»)\]]*\s+|[。！？][”」』）]*|[।؟]\s*", r"\s+")]
+#: Where a text pauses, and by how much such a pause is favoured over one of the last kind; a match ends where the next piece may begin.
+PAUSES = [(re.compile(r"\n[^\S\n]*\n\s*"), 0.3), (re.compile(r"\n"), 0.15), (re.compile(r"[.!?][\"'”’»)\]]*\s+|[。！？][”」』）]*|[।؟]\s*"), 0.0)]
+_BLANK = re.compile(r"\s+")
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -45,30 +47,38 @@ def depths(cohesion: list[float]) -> list[float]:
     return [left[i] + right[i] - 2 * cohesion[i] for i in range(n)]
 
 
-def _gaps(text: str, lo: int, hi: int) -> list[int]:
-    """The strongest kind of pause with a place in ``lo < p <= hi``."""
-    for kind in PAUSES:
-        found = [m.end() for m in kind.finditer(text, max(lo - 2, 0), min(hi + 64, len(text))) if lo < m.end() <= hi]
-        if found:
-            return found
-    return []
+def _ends(kind: re.Pattern[str], text: str, lo: int, hi: int) -> list[int]:
+    return [m.end() for m in kind.finditer(text, max(lo - 2, 0), min(hi + 64, len(text))) if lo < m.end() <= hi]
 
 
-def _deepest(text: str, gaps: list[int]) -> int:
-    if len(gaps) == 1:
-        return gaps[0]
-    reach = BLOCK * 12
-    cohesion = [_similarity(_WORD.findall(text[max(0, g - reach) : g].lower())[-BLOCK:], _WORD.findall(text[g : g + reach].lower())[:BLOCK]) for g in gaps]
+def _gaps(text: str, lo: int, hi: int) -> dict[int, float]:
+    """Pauses with a place in ``lo < p <= hi`` and how much each is favoured; blanks where there is no other."""
+    found: dict[int, float] = {}
+    for kind, favour in reversed(PAUSES):
+        found.update(dict.fromkeys(_ends(kind, text, lo, hi), favour))
+    return dict(sorted(found.items())) or dict.fromkeys(_ends(_BLANK, text, lo, hi), 0.0)
+
+
+def _deepest(text: str, gaps: dict[int, float]) -> int:
+    """The gap at the bottom of the deepest valley of cohesion, pauses of stronger kinds being favoured."""
+    places = list(gaps)
+    if len(places) == 1:
+        return places[0]
+    base = max(0, places[0] - BLOCK * 12)
+    found = [(m.start() + base, m[0]) for m in _WORD.finditer(text[base : places[-1] + BLOCK * 12].lower())]
+    starts, words = [a for a, _ in found], [w for _, w in found]
+    at = [bisect_left(starts, g) for g in places]
+    cohesion = [_similarity(words[max(0, k - BLOCK) : k], words[k : k + BLOCK]) for k in at]
     deep = depths(cohesion)
-    return gaps[max(range(len(gaps)), key=lambda i: (deep[i], -cohesion[i], gaps[i]))]
+    return places[max(range(len(places)), key=lambda i: (deep[i] + gaps[places[i]], -cohesion[i], places[i]))]
 
 
 def split_text(text: str, limit: int = TEXT_LIMIT, overlap: int = TEXT_OVERLAP) -> list[tuple[int, int]]:
     """Spans of at most ``limit`` characters that cover ``text`` in order.
 
-    The cut is the deepest valley of cohesion among the strongest pauses of the window; without any
-    pause it falls at the limit. The next span begins up to ``overlap`` characters earlier, at a pause
-    if there is one. A text within the limit is one span, an empty one none.
+    The cut is the deepest valley of cohesion among the pauses of the window; without any pause it falls
+    at the limit. The next span begins up to ``overlap`` characters earlier, at the strongest pause there.
+    A text within the limit is one span, an empty one none.
     """
     spans, start, cut = [], 0, 0
     while len(text) - start > limit:
@@ -77,7 +87,7 @@ def split_text(text: str, limit: int = TEXT_LIMIT, overlap: int = TEXT_OVERLAP)
         cut = _deepest(text, gaps) if gaps else hi
         spans.append((start, cut))
         back = _gaps(text, cut - overlap - 1, cut - 1)
-        start = back[0] if back else cut - overlap
+        start = min(back, key=lambda g: (-back[g], g)) if back else cut - overlap
     return [*spans, (start, len(text))] if text else []
 
 
@@ -100,7 +110,7 @@ def split_headings(items: list[str], limit: int = HEADINGS_LIMIT, overlap: int =
             size += len(units[end][1])
             end += 1
         if end < len(units) and end - at > 2:
-            lows = list(range(at + (end - at) // 2 + 1, end + 1))
+            lows = list(range(at + int((end - at) * LEAST_FILL) + 1, end + 1))
             cohesion = [_similarity(_WORD.findall(" ".join(t for _, t in units[max(at, c - 6) : c]).lower()), _WORD.findall(" ".join(t for _, t in units[c : c + 6]).lower())) for c in lows]
             deep = depths(cohesion)
             end = lows[max(range(len(lows)), key=lambda i: (deep[i], -cohesion[i], lows[i]))]

@@ -155,6 +155,18 @@ def test_split_prefers_valleys():
     assert text[split.split_text(text)[0][1] :].startswith("A bright")
 
 
+def test_split_finds_the_topic_boundary_in_the_whole_window():
+    """Held out: texts of made-up topics; the cut falls where the topic changes, not merely at a late pause."""
+    draw = random.Random(8)
+    hits = 0
+    for n in range(40):
+        topics = [made_up(draw, 30, 3) for _ in range(2)]
+        parts = [" ".join(" ".join(draw.choices(topic, k=8)).capitalize() + "." for _ in range(k)) for topic, k in ((topics[0], draw.randrange(18, 36)), (topics[1], 60))]
+        text = " ".join(parts)
+        hits += abs(split.split_text(text)[0][1] - len(parts[0]) - 1) <= 2
+    assert hits >= 38
+
+
 def test_split_headings():
     items = [f"Heading {i} " + "w" * 90 for i in range(30)] + ["", "y" * 2500, "z"]
     got = split.split_headings(items)
@@ -432,7 +444,7 @@ def test_leaks(spark):
     items = spark.createDataFrame([(7, item, "c"), (8, "too short", "c"), (9, None, "c")] * 2, "item_id long, text string, doc_id string")
     papers = docs(spark, texts)
     assert rows(leaks.leaks(papers, items)) == [(0, 7), (4, 7)]
-    assert {r["doc_id"]: r["text"] for r in leaks.without_leaks(papers, items).collect()} == {0: "Intro. ! End", 4: " x "}
+    assert {r["doc_id"]: r["text"] for r in leaks.without_leaks(papers, items).collect()} == {0: "Intro. ! End", 1: texts[1], 2: None, 3: "", 4: " x "}
     assert rows(leaks.leaks(papers.where("false"), items)) == rows(leaks.leaks(papers, items.where("false"))) == []
 
 
