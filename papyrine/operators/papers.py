@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from papyrine.functions.patterns import S, count, lines, matches
 from papyrine.operators import cleaning, figures, references, sections, tables, titles
+from papyrine.operators.deliveries import once
+from papyrine.session import spread
 from papyrine.sources.filenames import parse_filename, sanitise
 
 EXTRACTOR = "papyrine (batch)"
 
 
 def papers(manuscripts: DataFrame) -> DataFrame:
-    """``doc_id, stem, md, text`` of extracted papers, ``text`` cleaned; repeated deliveries stay until results are small enough to drop them."""
-    src = manuscripts.where("doc_id is not null and marker_md is not null")
+    """``doc_id, stem, md, text`` of extracted papers, each once, ``text`` cleaned."""
+    src = spread(once(manuscripts.where(F.col("marker_md").isNotNull()), "doc_id", "stem", "marker_md"), "doc_id")
     return src.select("doc_id", sanitise(F.col("stem")).alias("stem"), F.col("marker_md").alias("md")).withColumn("text", cleaning.mechanical_clean(F.col("md")))
 
 
@@ -72,9 +74,9 @@ def paper_meta(manuscripts: DataFrame, docling: DataFrame, images: DataFrame) ->
         F.transform("sections", lambda s: F.concat(s["slug"], F.lit(".md"))).alias("sections"),
     )
     kept = figures.classify(distinct_images(images)).where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("n_figures"))
-    verdicts = tables.classify(tables.table_blocks(plan.select("doc_id", "text"))).distinct()
+    verdicts = tables.classify(tables.table_blocks(plan.select("doc_id", "text")))
     data = verdicts.where("verdict = 'data'").groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("n_tables"))
-    joined = facts.dropDuplicates(["doc_id"]).join(kept, "doc_id", "left").join(data, "doc_id", "left")
+    joined = facts.join(kept, "doc_id", "left").join(data, "doc_id", "left")
     return joined.withColumns({"n_figures": F.coalesce("n_figures", F.lit(0)), "n_tables": F.coalesce("n_tables", F.lit(0))})
 
 
@@ -91,7 +93,7 @@ def red_flags(meta: DataFrame, plan: DataFrame, docling: DataFrame) -> DataFrame
         F.size(F.filter("heads", lambda h: h["level"] <= 6)).alias("n_heads"),
         count(F.substring(F.col("text"), F.lit(1), F.col("body_end")), "<sup>").alias("sup_body"),
         F.aggregate("sections", F.lit(0), lambda n, s: n + count(F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]), "<sup>")).alias("sup_sections"),
-    ).dropDuplicates(["doc_id"])
+    )
     rows = meta.join(per, "doc_id", "left").join(docling_facts(docling).select("doc_id", "n_pictures", "docling_headings"), "doc_id", "left")
     flags = F.array_compact(
         F.array(
@@ -116,7 +118,7 @@ def readme(meta: DataFrame, plan: DataFrame, figure_records: DataFrame, data_tab
         line = F.concat(F.lit(f"- [[{kind}s/{kind}_"), nn, F.lit(f"|{label} "), F.col("n").cast("string"), F.when(F.col(text) != "", F.concat(F.lit(" — "), F.col(text))).otherwise(""), F.lit("]]"))
         return rows.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", line.alias("l")))), lambda x: x["l"]), "\n").alias(f"{kind}_lines"))
 
-    toc = plan.select("doc_id", F.array_join(F.transform("sections", lambda s: F.concat(F.lit("- [[sections/"), s["slug"], F.lit("|"), s["title"], F.lit("]]"))), "\n").alias("toc")).dropDuplicates(["doc_id"])
+    toc = plan.select("doc_id", F.array_join(F.transform("sections", lambda s: F.concat(F.lit("- [[sections/"), s["slug"], F.lit("|"), s["title"], F.lit("]]"))), "\n").alias("toc"))
     m = meta.join(toc, "doc_id").join(listed(figure_records, "figure", "Figure", "caption"), "doc_id", "left").join(listed(data_tables, "table", "Table", "preview"), "doc_id", "left")
     or_null = lambda c, quote=False: F.coalesce(F.concat(F.lit('"'), c, F.lit('"')) if quote else c.cast("string"), F.lit("null"))
     or_dash = lambda c: F.coalesce(c.cast("string"), F.lit("—"))

@@ -42,19 +42,26 @@ def references_start(heads: Column) -> Column:
 
 def anchors(heads: Column, end: Column) -> Column:
     """The headings that open sections: of the first level that has three, else of the first three levels together."""
-    kept = F.filter(heads, lambda h: (h["start"] < end) & (h["level"] <= 3) & ~is_banner(h["title"]) & (F.length(h["title"]) >= 3))
-    of = lambda n: F.filter(kept, lambda h: h["level"] == n)
-    return F.when(F.size(of(1)) >= 3, of(1)).when(F.size(of(2)) >= 3, of(2)).when(F.size(of(3)) >= 3, of(3)).otherwise(kept)
+    fit = lambda h: (h["start"] < end) & (h["level"] <= 3) & (F.length(h["title"]) >= 3) & ~is_banner(h["title"])
+
+    def chosen(kept: Column) -> Column:
+        of = lambda n: F.filter(kept, lambda h: h["level"] == n)
+        return F.when(F.size(of(1)) >= 3, of(1)).when(F.size(of(2)) >= 3, of(2)).when(F.size(of(3)) >= 3, of(3)).otherwise(kept)
+
+    return let(F.filter(heads, fit), chosen)
 
 
 def _merged(sections: Column) -> Column:
     """One step of merging: the shortest section joins its right neighbour, the last one its left."""
     free = F.transform(sections, lambda s, i: F.when(s["slug"] != "00_abstract", F.struct((s["end"] - s["start"]).alias("n"), i.alias("i"))))
     least = F.array_min(F.filter(free, lambda x: x.isNotNull()))["i"]
-    left = F.when(least + 1 < F.size(sections), least).otherwise(least - 1)
-    a, b = F.get(sections, left), F.get(sections, left + 1)
-    joined = F.struct(a["slug"].alias("slug"), F.concat(a["title"], F.lit(" & "), b["title"]).alias("title"), a["start"].alias("start"), b["end"].alias("end"), a["level"].alias("level"))
-    return F.concat(F.slice(sections, F.lit(1), left), F.array(joined), F.slice(sections, left + 3, F.greatest(F.size(sections), F.lit(1))))
+
+    def joined(left: Column) -> Column:
+        a, b = F.get(sections, left), F.get(sections, left + 1)
+        both = F.struct(a["slug"].alias("slug"), F.concat(a["title"], F.lit(" & "), b["title"]).alias("title"), a["start"].alias("start"), b["end"].alias("end"), a["level"].alias("level"))
+        return F.concat(F.slice(sections, F.lit(1), left), F.array(both), F.slice(sections, left + 3, F.greatest(F.size(sections), F.lit(1))))
+
+    return let(let(least, lambda i: F.when(i + 1 < F.size(sections), i).otherwise(i - 1)), joined)
 
 
 def _numbered(sections: Column) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from papyrine.functions.patterns import rewrite
 from papyrine.operators import cleaning, figures, headings, papers, references, sections, tables, titles
 from papyrine.plans.core_sql import ORACLE as ORACLE
-from papyrine.session import table
+from papyrine.operators.deliveries import once
+from papyrine.session import spread, table
 from papyrine.sources.filenames import parse_filename, sanitise
 from papyrine.sources.files import pending
 
@@ -24,7 +25,13 @@ def query(f: Query) -> Query:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "manuscript").where("doc_id is not null and marker_md is not null").select("doc_id", F.col("marker_md").alias("md"))
+    src = table(spark, sf_dir, "manuscript").where("marker_md is not null")
+    return spread(once(src, "doc_id", "marker_md"), "doc_id").select("doc_id", F.col("marker_md").alias("md"))
+
+
+def _docling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = table(spark, sf_dir, "manuscript").where("docling_md is not null")
+    return spread(once(src, "doc_id", "docling_md"), "doc_id")
 
 
 def _papers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +51,7 @@ def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pass(name: str, rules: cleaning.Rules) -> None:
-    QUERIES[name] = lambda spark, sf_dir: _raw(spark, sf_dir).select("doc_id", rewrite(F.col("md"), rules).alias("text")).distinct()
+    QUERIES[name] = lambda spark, sf_dir: _raw(spark, sf_dir).select("doc_id", rewrite(F.col("md"), rules).alias("text"))
 
 
 for _name, _rules in cleaning.PASSES.items():
@@ -56,44 +63,43 @@ _pass("post_clean", cleaning.POST)
 
 @query
 def mechanical_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _papers(spark, sf_dir).select("doc_id", "text").distinct()
+    return _papers(spark, sf_dir).select("doc_id", "text")
 
 
 @query
 def clean_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _papers(spark, sf_dir).select("doc_id", *cleaning.clean_stats(F.col("text"))).distinct()
+    return _papers(spark, sf_dir).select("doc_id", *cleaning.clean_stats(F.col("text")))
 
 
 @query
 def post_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _raw(spark, sf_dir).select("doc_id", F.length("md").alias("before"), F.length(cleaning.clean_section(F.col("md"))).alias("after"), (F.col("md") != cleaning.clean_section(F.col("md"))).alias("changed")).distinct()
+    rows = _raw(spark, sf_dir).select("doc_id", F.length("md").alias("before"), F.length(cleaning.clean_section(F.col("md"))).alias("after"), (F.col("md") != cleaning.clean_section(F.col("md"))).alias("changed"))
     return rows.agg(F.count_if("changed").alias("n_changed"), F.sum(F.col("before") - F.col("after")).alias("n_removed"))
 
 
 @query
 def citation_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     style = cleaning.dominant_style(F.col("text"))
-    return _papers(spark, sf_dir).select("doc_id", *cleaning.citation_counts(F.col("text")), style["style"].alias("style"), F.coalesce(style["n"], F.lit(0)).alias("n_dominant")).distinct()
+    return _papers(spark, sf_dir).select("doc_id", *cleaning.citation_counts(F.col("text")), style["style"].alias("style"), F.coalesce(style["n"], F.lit(0)).alias("n_dominant"))
 
 
 @query
 def heading_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _papers(spark, sf_dir).select("doc_id", F.explode_outer(headings.headings(F.col("text"))).alias("h")).where("h is not null")
-    return rows.select("doc_id", F.col("h.level"), F.col("h.title"), F.col("h.line"), F.col("h.start").alias("start_pos"), F.col("h.end").alias("end_pos")).distinct()
+    return rows.select("doc_id", F.col("h.level"), F.col("h.title"), F.col("h.line"), F.col("h.start").alias("start_pos"), F.col("h.end").alias("end_pos"))
 
 
 @query
 def heading_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = table(spark, sf_dir, "manuscript").where("doc_id is not null and docling_md is not null")
-    rows = src.select("doc_id", F.posexplode_outer(headings.line_headings(F.col("docling_md"))).alias("i", "h")).where("h is not null")
-    return rows.select("doc_id", F.col("i").alias("n"), F.col("h.level"), F.col("h.text")).distinct()
+    rows = _docling(spark, sf_dir).select("doc_id", F.posexplode_outer(headings.line_headings(F.col("docling_md"))).alias("i", "h")).where("h is not null")
+    return rows.select("doc_id", F.col("i").alias("n"), F.col("h.level"), F.col("h.text"))
 
 
 @query
 def section_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _papers(spark, sf_dir).select("doc_id", F.explode_outer(headings.headings(F.col("text"))).alias("h")).where("h is not null")
     rows = rows.select("doc_id", F.col("h.start").alias("start_pos"), headings.section_kind(F.col("h.title")).alias("kind"), headings.is_banner(F.col("h.title")).alias("banner"))
-    return rows.distinct()
+    return rows
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,12 +107,12 @@ def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.classify(_blocks(spark, sf_dir)).distinct()
+    return tables.classify(_blocks(spark, sf_dir))
 
 
 @query
 def table_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _blocks(spark, sf_dir).select("doc_id", "start_line", F.size("lines").alias("n_lines"), F.array_join("lines", "\n").alias("block")).distinct()
+    return _blocks(spark, sf_dir).select("doc_id", "start_line", F.size("lines").alias("n_lines"), F.array_join("lines", "\n").alias("block"))
 
 
 @query
@@ -121,31 +127,31 @@ def table_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def data_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = _blocks(spark, sf_dir).distinct()
+    blocks = _blocks(spark, sf_dir)
     return tables.data_tables(blocks, tables.classify(blocks))
 
 
 @query
 def refs_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _papers(spark, sf_dir).select("doc_id", *references.audit(F.col("text"))).distinct()
+    return _papers(spark, sf_dir).select("doc_id", *references.audit(F.col("text")))
 
 
 @query
 def ref_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _papers(spark, sf_dir).select("doc_id", F.explode_outer(references.identifiers(F.col("text"))).alias("e")).where("e is not null")
-    return rows.select("doc_id", F.col("e.id").alias("ref_id"), F.col("e.start").alias("start_pos")).distinct()
+    return rows.select("doc_id", F.col("e.id").alias("ref_id"), F.col("e.start").alias("start_pos"))
 
 
 @query
 def ref_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _papers(spark, sf_dir).select("doc_id", F.explode_outer(references.entries(F.col("text"))).alias("e")).where("e is not null")
-    return rows.select("doc_id", F.col("e.id").alias("ref_id"), F.col("e.snippet").alias("snippet")).distinct()
+    return rows.select("doc_id", F.col("e.id").alias("ref_id"), F.col("e.snippet").alias("snippet"))
 
 
 @query
 def references_md(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _papers(spark, sf_dir).withColumn("refs_at", sections.references_start(headings.headings(F.col("text"))))
-    return rows.select("doc_id", references.references_document(F.col("text"), F.col("refs_at")).alias("content")).distinct()
+    return rows.select("doc_id", references.references_document(F.col("text"), F.col("refs_at")).alias("content"))
 
 
 @query
@@ -160,19 +166,18 @@ def title_from_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def title_body_h1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _papers(spark, sf_dir).select("doc_id", titles.body_h1(F.col("text")).alias("title")).distinct()
+    return _papers(spark, sf_dir).select("doc_id", titles.body_h1(F.col("text")).alias("title"))
 
 
 @query
 def title_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = table(spark, sf_dir, "manuscript").where("doc_id is not null and docling_md is not null")
-    return src.select("doc_id", titles.detect(F.col("docling_md")).alias("title")).distinct()
+    return _docling(spark, sf_dir).select("doc_id", titles.detect(F.col("docling_md")).alias("title"))
 
 
 @query
 def title_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = papers.decide(table(spark, sf_dir, "manuscript"), table(spark, sf_dir, "docling_meta"))
-    return rows.select("doc_id", F.col("pick.recommended").alias("title"), F.col("pick.source").alias("source"), F.col("pick.rejection_reason").alias("reason")).distinct()
+    return rows.select("doc_id", F.col("pick.recommended").alias("title"), F.col("pick.source").alias("source"), F.col("pick.rejection_reason").alias("reason"))
 
 
 @query
@@ -197,7 +202,7 @@ def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def doc_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _papers(spark, sf_dir).withColumn("heads", headings.headings(F.col("text")))
-    return rows.select("doc_id", sections.document_type(F.col("text"), F.col("heads"), parse_filename(F.col("stem"))["journal"]).alias("doc_type")).distinct()
+    return rows.select("doc_id", sections.document_type(F.col("text"), F.col("heads"), parse_filename(F.col("stem"))["journal"]).alias("doc_type"))
 
 
 @query
@@ -205,18 +210,18 @@ def section_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _papers(spark, sf_dir).withColumn("heads", headings.headings(F.col("text")))
     end = F.coalesce(sections.references_start(F.col("heads")), F.length("text"))
     rows = rows.withColumn("body_end", end).select("doc_id", "body_end", F.posexplode_outer(sections.anchors(F.col("heads"), F.col("body_end"))).alias("i", "a")).where("a is not null")
-    return rows.select("doc_id", F.col("i").alias("n"), F.col("a.start").alias("start_pos"), F.col("a.level").alias("level"), "body_end").distinct()
+    return rows.select("doc_id", F.col("i").alias("n"), F.col("a.start").alias("start_pos"), F.col("a.level").alias("level"), "body_end")
 
 
 @query
 def section_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sections.plan(_papers(spark, sf_dir)).select("doc_id", F.posexplode_outer("sections").alias("i", "s")).where("s is not null")
-    return rows.select("doc_id", (F.col("i") + 1).alias("n"), F.col("s.slug").alias("slug"), F.col("s.title").alias("title"), F.col("s.start").alias("start_pos"), F.col("s.end").alias("end_pos")).distinct()
+    return rows.select("doc_id", (F.col("i") + 1).alias("n"), F.col("s.slug").alias("slug"), F.col("s.title").alias("title"), F.col("s.start").alias("start_pos"), F.col("s.end").alias("end_pos"))
 
 
 @query
 def section_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sections.section_rows(_planned(spark, sf_dir)).select("doc_id", "n", "slug", "title", "cleaned").distinct()
+    return sections.section_rows(_planned(spark, sf_dir)).select("doc_id", "n", "slug", "title", "cleaned")
 
 
 @query
@@ -236,19 +241,19 @@ def figure_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def caption_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = _papers(spark, sf_dir).select("doc_id", "text").dropDuplicates(["doc_id"])
+    texts = _papers(spark, sf_dir).select("doc_id", "text")
     return figures.require_captions(_images(spark, sf_dir), texts).select("doc_id", "path", "source", "w", "h", "kept", "reason")
 
 
 @query
 def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _papers(spark, sf_dir).select("doc_id", F.explode_outer(figures.captions(F.col("text"))).alias("c")).where("c is not null")
-    return rows.select("doc_id", F.col("c.n").alias("n"), F.col("c.caption").alias("caption")).distinct()
+    return rows.select("doc_id", F.col("c.n").alias("n"), F.col("c.caption").alias("caption"))
 
 
 @query
 def figure_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = _papers(spark, sf_dir).select("doc_id", "text").dropDuplicates(["doc_id"])
+    texts = _papers(spark, sf_dir).select("doc_id", "text")
     return figures.figure_records(_images(spark, sf_dir), texts).select("doc_id", "n", "path", "caption")
 
 
@@ -259,7 +264,7 @@ def image_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sanity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _papers(spark, sf_dir).select("doc_id", *papers.sanity_counts(F.col("text"))).distinct()
+    return _papers(spark, sf_dir).select("doc_id", *papers.sanity_counts(F.col("text")))
 
 
 @query
@@ -289,7 +294,7 @@ def paper_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def paper_readme(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = _papers(spark, sf_dir).select("doc_id", "text").dropDuplicates(["doc_id"])
+    texts = _papers(spark, sf_dir).select("doc_id", "text")
     blocks = tables.table_blocks(texts)
     records = figures.figure_records(_images(spark, sf_dir), texts)
     return papers.readme(_meta(spark, sf_dir), _planned(spark, sf_dir), records, tables.data_tables(blocks, tables.classify(blocks)))
