@@ -26,7 +26,7 @@ TOKENIZERS = "/opt/tokenizers"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Bytes of distinct words that one recursion takes at a time, which bounds its memory; a longer word runs alone.
-BYTES_AT_ONCE = 60_000
+BYTES_AT_ONCE = 120_000
 
 #: Rows kept of words already encoded, over the batches of a partition.
 CACHE_WORDS = 500_000
