@@ -74,7 +74,7 @@ def _sources(runs: DataFrame, doc: str, source: str) -> DataFrame:
 def _papers(docs: DataFrame, own: DataFrame, doc: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(documents with a text, once each, number of papers of each source)."""
     src = spread(once(docs.where(F.col(text).isNotNull()), doc, text), doc).select(F.col(doc).alias("_doc"), F.col(text).alias("_text"))
-    return src, src.select("_doc").join(own, "_doc").groupBy("_source").agg(F.count(F.lit(1)).alias("_papers"))
+    return src, checkpoint(src.select("_doc").join(own, "_doc").groupBy("_source").agg(F.count(F.lit(1)).alias("_papers")))  # one row for each source
 
 
 def _lines(src: DataFrame) -> DataFrame:
@@ -112,9 +112,9 @@ def repeated_lines(docs: DataFrame, runs: DataFrame, doc: str = "doc_id", text:
     hashed = _lines(src).select("_doc", "_no", F.xxhash64("_form").alias("_h1"), F.xxhash64(F.lit(1), F.reverse("_form")).alias("_h2"), _least_hashes(words, 1).alias("_m"))
     # three later steps read the hashed lines, so that each line is masked and hashed once
     keyed = checkpoint(hashed.select("_doc", "_no", "_h1", "_h2", _band(F.col("_m"), 0).alias("_key")).join(own, "_doc"))
-    clusters = broadcast_if_small(_often(_once_a_document(keyed, "_key"), papers, "_key").drop("_papers"), MAX_BROADCAST)
+    clusters = broadcast_if_small(checkpoint(_often(_once_a_document(keyed, "_key"), papers, "_key").drop("_papers")), MAX_BROADCAST)
     held = keyed.join(clusters, ["_source", "_key"], "left_semi")
-    hits = broadcast_if_small(_often(_once_a_document(held, "_h1", "_h2"), papers, "_h1", "_h2").drop("_papers"), MAX_BROADCAST)
+    hits = broadcast_if_small(checkpoint(_often(_once_a_document(held, "_h1", "_h2"), papers, "_h1", "_h2").drop("_papers")), MAX_BROADCAST)
     found = held.join(hits, ["_source", "_h1", "_h2"], "left_semi")
     return found.select(F.col("_doc").alias(doc), F.col("_no").cast("bigint").alias("line_no"))
 
@@ -137,7 +137,8 @@ def repeated_clusters(docs: DataFrame, runs: DataFrame, doc: str, text: str, sou
     keyed = checkpoint(hashed.join(own, "_doc"))
     exact = _often(_once_a_document(keyed, "_h"), papers, "_h").groupBy("_source").agg(F.collect_list("_h").alias("_exact"))
     banded = keyed.select("_doc", "_source", "_words", F.posexplode("_keys").alias("_band", "_key"))
-    held = banded.join(broadcast_if_small(_often(_once_a_document(banded, "_band", "_key"), papers, "_band", "_key"), MAX_BROADCAST), ["_source", "_band", "_key"])
+    often = checkpoint(_often(_once_a_document(banded, "_band", "_key"), papers, "_band", "_key"))
+    held = banded.join(broadcast_if_small(often, MAX_BROADCAST), ["_source", "_band", "_key"])
     key = ["_source", "_band", "_key"]
     forms = held.groupBy(*key, "_words").agg(F.count(F.lit(1)).alias("_n"))
     usual = forms.groupBy(*key).agg(F.max_by("_words", F.struct("_n", F.xxhash64("_words"))).alias("_usual"))
