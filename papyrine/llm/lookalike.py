@@ -63,6 +63,7 @@ _LOOKS = str.maketrans(LOOKS)
 _ALIKE = "".join(c for c in map(chr, range(0x370, 0x590)) if unicodedata.normalize("NFD", c)[0] in LOOKS)
 SUSPECT = "".join(c for c in _ALIKE if c < "Ѐ") + "Ѐ-\u058f"
 _FOREIGN = re.compile(f"[{_ALIKE}]")
+_SUSPECT = re.compile(f"[{SUSPECT}]")
 
 #: Script -> Latin letter -> its letter of that shape, the more usual one of two. Greek letters beside Latin ones are signs, not words.
 _BACK = {script: str.maketrans({latin: c for c, latin in reversed(looks.items())}) for script, looks in (("CYRILLIC", CYRILLIC), ("ARMENIAN", ARMENIAN))}
@@ -110,6 +111,8 @@ def _plain_udf(text: pd.Series) -> pd.Series:
 def repairs(token: str, around: str) -> list[str | None]:
     """Up to two forms of a token to be tried in turn: towards the script of most of its own letters first."""
     latin, own = candidate(token, around), native(token)
+    if latin is None and own is None:
+        return [None, None]
     first = [latin, own] if dominant_script(token) == "LATIN" else [own, latin]
     forms = [x for x in dict.fromkeys(first) if x is not None]
     return [*forms, None, None][:2]
@@ -117,9 +120,11 @@ def repairs(token: str, around: str) -> list[str | None]:
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
 def _repairs_udf(text: pd.Series) -> pd.Series:
-    def of(t: str) -> list[list[str | None]]:
+    def of(t: str) -> list[list[str | None]] | None:
+        if not _SUSPECT.search(t):
+            return None
         around = dominant_script(t)
-        return [repairs(token, around) for token in t.split(" ")]
+        return [[None, None] if token.isascii() else repairs(token, around) for token in t.split(" ")]
 
     return text.map(of)
 
@@ -133,8 +138,7 @@ def _formed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     src = distinct_rows(records.select("field", "id", "raw").where("raw is not null and id is not null"))
     ascii_only = F.col("raw").rlike(r"\A[\x00-\x7F]*\z")
     formed = spread(src.where(~ascii_only), "id").select("field", "id", "raw", _plain_udf("raw").alias("text"))
-    foreign = F.col("text").rlike(f"[{SUSPECT}]")
-    formed = checkpoint(formed.select("*", F.when(foreign, _repairs_udf("text")).alias("_repairs")))
+    formed = checkpoint(formed.select("*", _repairs_udf("text").alias("_repairs")))
     as_they_are = src.where(ascii_only).select("field", "id", "raw", F.col("raw").alias("text"))
     return as_they_are.unionByName(formed.where("_repairs is null").drop("_repairs")), formed.where("_repairs is not null")
 
