@@ -374,10 +374,11 @@ def _fields(docs: DataFrame, doc: str, fields: tuple[str, ...], only: Column | N
 
 
 def fit(docs: DataFrame, doc: str, fields: tuple[str, ...]) -> Classifier:
-    """A classifier from at most ``TRAINING_LINES`` lines of documents without any sign, drawn by a hash of their text."""
-    lines = _fields(docs, doc, fields, ~F.col("_text").rlike(SIGNS)).select(F.explode(F.slice(F.split("_text", "\n", -1), 1, 200)).alias("x")).where("trim(x) <> ''")
-    drawn = lines.groupBy("x").agg(F.lit(1)).orderBy(F.xxhash64("x"), "x").limit(TRAINING_LINES).select("x")
-    return Classifier.fitted([r["x"] for r in drawn.collect()])
+    """A classifier from at most ``TRAINING_LINES`` lines of documents without any sign, which are drawn by a hash of their key and text."""
+    share = min(1.0, TRAINING_LINES / max(docs.count(), 1))
+    drawn = _fields(docs, doc, fields, F.pmod(F.xxhash64("_doc"), F.lit(1 << 30)) < int(share * (1 << 30))).where(~F.col("_text").rlike(SIGNS))
+    lines = drawn.select(F.explode(F.split("_text", "\n", -1)).alias("x")).where("trim(x) <> ''").distinct()
+    return Classifier.fitted([r["x"] for r in lines.orderBy(F.xxhash64("x"), "x").limit(TRAINING_LINES).collect()])
 
 
 def residue(docs: DataFrame, doc: str = "doc_id", fields: tuple[str, ...] = ("marker_md", "docling_md"), classifier: Classifier | None = None) -> DataFrame:
