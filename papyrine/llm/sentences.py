@@ -281,11 +281,13 @@ def corpus_abbreviations(docs: DataFrame, text: str = "text") -> DataFrame:
     where they do not. Each document's places are reduced to counts before the shuffle, so frequent words
     travel as a few rows.
     """
-    piece = rf"(?<![^\s(\[\"“„«])(\p{{L}}(?:[\p{{L}}\p{{M}}]|[.\-](?=\p{{L}})){{0,{LONGEST}}})\.(?=([,;]|\s*\z|[^\S\n]*\n[^\S\n]*\r?\n|\s+\S[\p{{L}}\p{{M}}]*[\w-]?))"
-    words, after = (F.regexp_extract_all(F.col(text), F.lit(piece), k) for k in (1, 2))
-    seen = docs.select(F.explode(F.arrays_zip(words.alias("w"), after.alias("a"))).alias("_p")).select(F.col("_p.w").alias("_w"), F.col("_p.a").alias("_a"))
-    word = F.when(F.length("_w") == 1, F.col("_w")).otherwise(F.lower("_w"))
-    kind = F.when(F.col("_a").rlike(r"\A[,;]|\A\s+[\p{Ll}&&[^\u0370-\u03FF]]\p{Ll}*\z"), 0).when(F.col("_a").rlike(r"\A\s*\z"), 1).otherwise(2)
+    # what follows a stop is told by what the piece ends with: a comma, the blanks before a small-letter word, a blank line, or the stop itself
+    stop = r"\.(?:[,;]|[^\S\n]*\n[^\S\n]*\r?\n|\s+(?=[\p{Ll}&&[^\u0370-\u03FF]]\p{Ll}*+(?![\w-]))|(?=\s))"
+    piece = rf"(?<![^\s(\[\"“„«])\p{{L}}(?:[\p{{L}}\p{{M}}]|[.\-](?=\p{{L}})){{0,{LONGEST}}}+{stop}"
+    seen = docs.select(F.explode(F.regexp_extract_all(F.concat(F.col(text), F.lit("\n\n")), F.lit(piece), 0)).alias("_p"))
+    kind = F.when(F.col("_p").rlike(r"\n[^\S\n]*\r?\n\z"), 1).when(F.col("_p").rlike(r"[,;\s]\z"), 0).otherwise(2)
+    own = F.regexp_replace("_p", r"\.[\s,;]*\z", "")
+    word = F.when(F.length(own) == 1, own).otherwise(F.lower(own))
     counts = seen.select(word.alias("word"), kind.alias("_kind"))
     counts = checkpoint(counts.groupBy("word").agg(*[F.count_if(F.col("_kind") == k).alias(n) for k, n in enumerate(("_small", "_end", "_open"))]))
     # how often an ordinary last word stands at the end of a paragraph: one number of all words that ever do
