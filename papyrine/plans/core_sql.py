@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from papyrine.functions.patterns import D, S, quoted, sql_count, sql_lines, sql_rewrite, sql_strip, sql_strip_stars
-from papyrine.operators import cleaning, figures, headings, references, tables, titles
+from papyrine.operators import cleaning, figures, headings, references, sections, tables, titles
 from papyrine.sources.filenames import STEM
 
 RAW = "select distinct doc_id, marker_md as md from manuscript where doc_id is not null and marker_md is not null"
@@ -94,6 +94,60 @@ _OWN_HEAD = rf"^#{{1,6}}{S}+."
 _PLAIN_LINE = f"list_filter(list_transform(l, lambda x: {sql_strip('x')}), lambda x: x <> '' and x not like '#%' and x not like '|%')[1]"
 _HEAD_TITLES = f"list_transform(list_filter(l, lambda x: {full('x', _OWN_HEAD)}), lambda x: {sql_strip(sql_rewrite('x', [(rf'^#{{1,6}}{S}+', '')]))})"
 
+#: Sections: the anchors, what precedes them, and merging by a recursion that joins the shortest to its neighbour.
+_SLUG = "coalesce(nullif(rtrim(left(trim(" + sql_rewrite(sql_strip_stars("lower(title)"), SLUG_RULES) + f", '_'), {sections.SLUG}), '_'), ''), 'section')"
+ANCHORS = f"""e as materialized (select m.doc_id, m.text, min(s) filter ({kind_is('references')})::int as refs_at, coalesce(min(s) filter ({kind_is('references')}), length(m.text))::int as body_end from m left join h using (doc_id) group by m.doc_id, m.text),
+k as (select h.doc_id, h.title, h.s, h.level, body_end from h join e using (doc_id) where s < body_end and level <= 3 and not {full('title', headings.BANNER)} and length(title) >= 3),
+n as (select doc_id, count(*) filter (level = 1) as a, count(*) filter (level = 2) as b, count(*) filter (level = 3) as c from k group by doc_id),
+anchors as materialized (select k.* from k join n using (doc_id) where case when a >= 3 then level = 1 when b >= 3 then level = 2 when c >= 3 then level = 3 else true end)"""
+_PREFACE = sql_strip(f"regexp_replace({sql_strip('left(text, first)')}, '(?m)^#{{1,6}}[^\\n]*$', '', 'g')")
+_LEN = "list_transform(secs, lambda x: case when x.slug = '00_abstract' then null else x.e - x.s end)"
+SECTIONS = f"""spans as (select doc_id, list({{'slug': {_SLUG}, 'title': title, 's': s::int, 'e': e::int}} order by s) as secs, min(s)::int as first
+  from (select doc_id, title, s, coalesce(lead(s) over (partition by doc_id order by s), body_end) as e from anchors) group by doc_id),
+merging as (select doc_id, case when length({_PREFACE}) > {sections.PREFACE} then list_prepend({{'slug': '00_abstract', 'title': 'Abstract', 's': 0, 'e': first}}, secs) else secs end as secs from spans join e using (doc_id)
+  union all
+  select doc_id, secs[1:l - 1] || [{{'slug': secs[l].slug, 'title': secs[l].title || ' & ' || secs[l + 1].title, 's': secs[l].s, 'e': secs[l + 1].e}}] || secs[l + 2:] from (
+    select doc_id, secs, case when i < len(secs) then i else i - 1 end as l from (select doc_id, secs, list_position({_LEN}, list_min({_LEN})) as i from merging where len(secs) > {sections.MOST}))),
+sections as materialized (select doc_id, secs[i].title as title, secs[i].s as s, secs[i].e as e, i::int as n, lpad(i::varchar, 2, '0') || '_' || coalesce(nullif(regexp_replace(secs[i].slug, '^\\p{{Nd}}+_?', ''), ''), 'section') as slug
+  from merging, unnest(range(1, len(secs) + 1)) as t(i) where len(secs) <= {sections.MOST}
+  union all select doc_id, 'Body', 0, body_end, 1, '01_body' from e where doc_id not in (select doc_id from anchors))"""
+
+#: Snippets: boundaries in the window move its start, one after the other.
+_KEPT = sql_strip("substr(text, moved + 1, greatest(0, stop - moved))")
+_DOT = "(length(kept) - strpos(reverse(kept), '.'))"
+SNIPPETS = f"""w as (select doc_id, ref_id, start_pos as pos, text, greatest(0, start_pos - {references.SPAN}) as start, least(length(text), start_pos + {references.SPAN}) as stop from ids join m using (doc_id)),
+u as (select *, substr(text, start + 1, stop - start) as chunk from w),
+v as (select *, list_filter(range(0, length(chunk)), lambda i: chunk[i + 1] in ('.', chr(10)) and (i + 1 = length(chunk) or regexp_matches(chunk[i + 2], '{S}'))) as bounds from u),
+x as (select *, list_reduce(bounds, lambda acc, q: case when q < pos - acc - 20 then acc + q + 1 else acc end, start) as moved from v),
+y as (select *, {_KEPT} as kept from x),
+snippets as materialized (select doc_id, ref_id, pos, {sql_strip(sql_rewrite(f"(case when contains(kept, '.') and {_DOT} > length(kept) // 2 then substr(kept, 1, {_DOT} + 1) else kept end)", [(f'{S}+', ' ')]))} as snippet from y)"""
+_REF_BLOCK = sql_strip("substr(text, refs_at + 1)")
+
+#: Titles: a labelled cell, the first substantial line after a label, docling's, a heading, the file name.
+_BODY = "coalesce(text, '')"
+_TABLE_TITLE = sql_strip_stars(f"regexp_extract({_BODY}, {quoted(titles.TABLE_LABEL)}, 1)")
+_LABEL_LINE = f"(?i)\\A{titles._LABEL}\\z"
+_PROMPTED = " or ".join(f"starts_with(lower(x), {quoted(w)})" for w in titles.PROMPTS)
+TITLES = f"""dm as (select distinct doc_id, title as docling_title from docling_meta where doc_id is not null),
+b as (select doc_id, arg_min(title, s) as h1 from (select doc_id, s, {sql_strip_stars('g1')} as title from {located('t', titles.BODY_H1, f'(select doc_id, left(text, {titles.PAGE_ONE}) as t from m)')}) where title <> '' and ({REJECT}) is null group by doc_id),
+lab as (select doc_id, list_transform(string_split_regex({_BODY}, {quoted(titles.LABEL)})[2:], lambda p: list_filter(list_transform({sql_lines('p')}, lambda x: {sql_strip_stars('x')}), lambda x: x <> '' and not {full('x', _LABEL_LINE)} and not ({_PROMPTED}))[1]) as f from m),
+lb as (select doc_id, list_filter(list_transform(range(1, len(f) + 1), lambda k: list_filter(f[k:], lambda x: x is not null)[1]), lambda x: length(x) >= {titles.SHORTEST} and not {full('x', titles.SECTION_PREFIX)})[1] as label from lab),
+t as (select m.doc_id, stem, case when length({_TABLE_TITLE}) >= {titles.SHORTEST} then {_TABLE_TITLE} end as cell, label, docling_title as title, h1 from m left join dm using (doc_id) left join b using (doc_id) left join lb using (doc_id)),
+tp as (select *, {REJECT} as reason from t)"""
+
+#: Section files: without a first section that repeats the title, its own heading first, other top headings one level down.
+_PLAIN_TITLE = lambda x: f"lower(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}_]+', '', 'g'))"
+_CHOSEN = f"coalesce(nullif(coalesce(cell, label, case when reason is null then {_T} end, h1, {sql_strip(sql_rewrite('stem', [(f'[_{S[1:-1]}]+', ' ')]))}), ''), {sql_strip(sql_rewrite('stem', [(f'[_{S[1:-1]}]+', ' ')]))})"
+_OWN = headings.HEADING.replace("(?m)^", "\\A").replace("$", "\\z")
+_SECTION_BODY = sql_strip("substr(text, x.s + 1, x.e - x.s)")
+FILES = f"""chosen as (select doc_id, {_CHOSEN} as chosen from tp),
+blocks as (select x.doc_id, x.n, {_PLAIN_TITLE('x.title')} = {_PLAIN_TITLE('chosen')} and length({_SECTION_BODY}) < {sections.TITLE_BLOCK} as repeats from sections x join m using (doc_id) join chosen using (doc_id) where x.n = 1),
+filed as materialized (select doc_id, title, s, e, (n - coalesce(repeats, false)::int)::int as n, slug from (select x.*, b.repeats from sections x left join (select doc_id, repeats from blocks) b using (doc_id)) where not (coalesce(repeats, false) and n = 1)),
+parts as (select x.doc_id, x.n, x.title, regexp_replace(x.slug, '^[0-9]+_', lpad(x.n::varchar, 2, '0') || '_') as slug, {sql_lines(_SECTION_BODY)} as ls from filed x join m using (doc_id)),
+own as (select *, coalesce(list_position(list_transform(ls, lambda x: {full('x', _OWN)}), true), 0) as first from parts),
+files as materialized (select doc_id, n, slug, title, regexp_replace(array_to_string(['# ' || title, ''] || list_filter(list_transform(range(1, len(ls) + 1), lambda i: case when i = first then null when {full('ls[i]', _OWN)} and regexp_extract(ls[i], {quoted(_OWN)}, 1) = '#'
+  then '## ' || regexp_extract(ls[i], {quoted(_OWN)}, 2) else ls[i] end), lambda x: x is not null), chr(10)), '{S}+\\z', '') || chr(10) as body from own)"""
+
 ORACLE: dict[str, str] = {
     **{f"clean_{k}": f"with m as ({RAW}) select doc_id, {sql_rewrite('md', r)} as text from m" for k, r in cleaning.PASSES.items()},
     **{f"post_{k}": f"with m as ({RAW}) select doc_id, {sql_rewrite('md', r)} as text from m" for k, r in cleaning.SECTION_PASSES.items()},
@@ -116,6 +170,15 @@ ORACLE: dict[str, str] = {
     f"select doc_id, has as has_references_section, heading as section_heading, line as section_start_line, coalesce(p, 0) as n_pmids, coalesce(d, 0) as n_dois, {', '.join(f'n_{k}' for k in references.FORMATS)}, {_CREDIT} as n_refs_estimate, "
     f"not has and coalesce(p, 0) + coalesce(d, 0) = 0 and greatest({', '.join(f'n_{k}' for k in references.FORMATS)}) < {references.CREDIBLE} as likely_truncated from k left join n using (doc_id)",
     "ref_identifiers": f"with {PAPERS}, {IDS} select doc_id, ref_id, start_pos from ids",
+    "section_plan": f"with recursive {PAPERS}, {HEADS}, {ANCHORS}, {SECTIONS} select doc_id, n, slug, title, s as start_pos, e as end_pos from sections",
+    "section_texts": f"with recursive {PAPERS}, {HEADS}, {ANCHORS}, {SECTIONS}, {TITLES}, {FILES} select doc_id, n, slug, title, {sql_rewrite('body', cleaning.POST)} as cleaned from files",
+    "ref_snippets": f"with {PAPERS}, {IDS}, {SNIPPETS} select doc_id, ref_id, snippet from snippets",
+    "references_md": f"with {PAPERS}, {HEADS}, {ANCHORS}, {IDS}, {SNIPPETS}, o as (select doc_id, string_agg(i || '. `' || ref_id || '` — ' || snippet, chr(10) order by i) as listed from (select *, row_number() over (partition by doc_id order by case when ref_id like 'PMID:%' then 0 else 1 end, pos) as i from snippets) group by doc_id), "
+    f"r as (select *, {_REF_BLOCK} as block from e) select doc_id, case when refs_at is not null then '# References' || chr(10) || chr(10) || (case when strpos(block, chr(10)) > 1 then {sql_strip('substr(block, strpos(block, chr(10)) + 1)')} else block end) || chr(10) "
+    "when listed is not null then '# References' || chr(10) || chr(10) || '*Reconstructed from inline PMID/DOI tokens — the source PDF lacked a parseable bibliography section.*' || chr(10) || chr(10) || listed || chr(10) "
+    "else '# References' || chr(10) || chr(10) || '*No machine-parseable references found in source.*' || chr(10) end as content from r left join o using (doc_id)",
+    "title_pick": f"with {PAPERS}, {TITLES} select doc_id, coalesce(cell, label, case when reason is null then {_T} end, h1, {sql_strip(sql_rewrite('stem', [(f'[_{S[1:-1]}]+', ' ')]))}) as title, "
+    "case when cell is not null then 'body_table' when label is not null then 'body_heading' when reason is null then 'docling' when h1 is not null then 'body_h1' else 'filename' end as source, reason from tp",
     "title_reject": f"select distinct doc_id, title, {REJECT} as reason from docling_meta where doc_id is not null",
     "title_from_filename": f"select distinct stem, {sql_strip(sql_rewrite('stem', [(f'[_{S[1:-1]}]+', ' ')]))} as title from shred_batch",
     "title_body_h1": f"with {PAPERS}, c as (select doc_id, s, {sql_strip_stars('g1')} as title from {located('t', titles.BODY_H1, f'(select doc_id, left(text, {titles.PAGE_ONE}) as t from m)')}), k as (select doc_id, arg_min(title, s) as title from c where title <> '' and ({REJECT}) is null group by doc_id) select doc_id, title from m left join k using (doc_id)",
