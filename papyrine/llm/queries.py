@@ -115,6 +115,16 @@ ew as (select distinct item_id, array_to_string(ws[i:i+11], ' ') as g from v, un
 select distinct doc_id, item_id from dw join ew using (g)
 """
 
+P9_CLEANED = """
+with w as (select distinct doc_id, text, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws, regexp_extract_all(text, '[\\p{L}\\p{N}]+') as raw, string_split_regex(text, '[\\p{L}\\p{N}]+') as gaps from documents where doc_id is not null),
+v as (select regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from eval_item),
+dw as (select doc_id, i, array_to_string(ws[i:i+11], ' ') as g from w, unnest(range(1, len(ws) - 10)) as t(i)),
+ew as (select distinct array_to_string(ws[i:i+11], ' ') as g from v, unnest(range(1, len(ws) - 10)) as t(i)),
+hits as (select doc_id, list_distinct(flatten(list(range(i - 1, i + 11)))) as hit from dw semi join ew using (g) group by doc_id)
+select doc_id, case when hit is null then text else array_to_string(list_transform(range(0, len(raw) + 1), lambda i: (case when list_contains(hit, i) and list_contains(hit, i - 1) then '' else gaps[i + 1] end)
+  || (case when list_contains(hit, i) or i >= len(raw) then '' else raw[i + 1] end)), '') end as text from w left join hits using (doc_id)
+"""
+
 P2 = """
 with j as (select doc_id, min(journal) as journal from shred_batch where journal is not null and doc_id is not null group by doc_id),
 m as (select distinct doc_id, marker_md, journal from manuscript join j using (doc_id) where marker_md is not null),
@@ -137,10 +147,23 @@ select p.field, id_a, id_b from p join n x on (x.field = p.field and x.doc_id =
 where k >= (x.n + y.n - k) * case p.field when 'title' then 0.75 else 0.6 end
 """
 
+#: Groups by a recursion that spreads the least id, over all records that have a shingle.
+P3_GROUPS = f"""
+with recursive pairs as materialized ({P3}),
+links as materialized (select field, id_a as a, id_b as b from pairs union select field, id_b, id_a from pairs),
+sets as materialized (select 'marker_md' as field, doc_id, list_sort(list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i+2], ' ')))) as g
+  from (select distinct doc_id, regexp_extract_all(lower(marker_md), '[\\p{{L}}\\p{{N}}]+') as ws from manuscript where marker_md is not null and doc_id is not null) where len(ws) >= 3
+  union all select 'title', doc_id, list_sort(list_distinct(list_transform(range(1, length(title) - 1), lambda i: substr(lower(title), i, 3)))) from (select distinct doc_id, title from meta where title is not null and doc_id is not null) where length(title) >= 3),
+reached as (select field, a as id, b as other from links union select r.field, r.id, l.b from reached r join links l on l.field = r.field and l.a = r.other),
+least as (select field, id, least(id, min(other)) as group_id from reached group by field, id),
+near as (select l.field, l.a as id, count(distinct y.g) as n from links l join sets x on x.field = l.field and x.doc_id = l.a join sets y on y.field = l.field and y.doc_id = l.b where x.g <> y.g group by l.field, l.a)
+select field, doc_id, coalesce(group_id, doc_id) as group_id, coalesce(n, 0) as n_links from sets left join least on (least.field = sets.field and least.id = doc_id) left join near on (near.field = sets.field and near.id = doc_id)
+""".replace("select field, doc_id, coalesce", "select sets.field, doc_id, coalesce")
+
 P5 = """
 select 'marker_md' as field, doc_id from manuscript where length(marker_md) > 4000
 union
 select 'headings' as field, doc_id from docling_meta where list_sum(list_transform(headings, lambda h: length(coalesce(h.text, '')))) > 1000
 """
 
-ORACLE = {"p2_found": P2, "p3_found": P3, "p3_exact": f"select * from ({P3}) where field = 'marker_md'", "p5_found": P5, "p9_found": P9}
+ORACLE = {"p2_found": P2, "p3_found": P3, "p3_exact": f"select * from ({P3}) where field = 'marker_md'", "p3_groups": P3_GROUPS, "p5_found": P5, "p9_found": P9, "p9_cleaned": P9_CLEANED}
