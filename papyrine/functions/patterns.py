@@ -95,6 +95,17 @@ def first_of_each(items: Column, key: str, kind: str) -> Column:
     return F.aggregate(items, F.array().cast(f"array<{kind}>"), lambda acc, x: F.when(F.exists(acc, lambda y: y[key] == x[key]), acc).otherwise(F.concat(acc, F.array(x.cast(kind)))))
 
 
+def yaml_str(value: Column) -> Column:
+    """A value as front matter shows it: a quoted string, a list of them on lines of their own, ``null`` for null and empty ones."""
+    quote = lambda x: F.regexp_extract(F.to_json(F.struct(x.alias("x"))), r"(?s)\A\{\"x\":(.*)\}\z", 1)
+    return F.coalesce(F.nullif(quote(F.nullif(value.cast("string"), F.lit(""))), F.lit("")), F.lit("null"))
+
+
+def yaml_list(values: Column) -> Column:
+    listed = F.transform(values, lambda x: F.concat(F.lit("\n  - "), yaml_str(x)))
+    return F.when(F.size(values) > 0, F.array_join(listed, "")).otherwise(F.lit("null"))
+
+
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 

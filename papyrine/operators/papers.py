@@ -85,6 +85,23 @@ def sanity_counts(text: Column) -> list[Column]:
     return [F.size(F.filter(lines(text), lambda x: matches(x, rf"\A{S}*\p{{Nd}}+\.{S}"))).alias("n_numbered"), count(text, "<sup>").alias("n_sup")]
 
 
+def output_counts(sections_: DataFrame, figure_records: DataFrame, data_tables: DataFrame, references_: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """``doc, n_sections, n_sup, n_jpeg, n_tables, n_listed``: what is found in a paper's files, to be set beside its metadata.
+
+    Sections and their superscripts, figures of the JPEG kind, table files, and numbered lines of the references file.
+    """
+    parts = [
+        sections_.groupBy(doc).agg(F.count(F.lit(1)).alias("n_sections"), F.sum(count(F.col("cleaned"), "<sup>")).alias("n_sup")),
+        figure_records.groupBy(doc).agg(F.count_if(F.col("path").endswith(".jpeg")).alias("n_jpeg")),
+        data_tables.groupBy(doc).agg(F.count(F.lit(1)).alias("n_tables")),
+    ]
+    listed = F.size(F.filter(lines(F.col("content")), lambda x: matches(x, rf"\A\p{{Nd}}+\.{S}")))
+    rows = references_.select(doc, listed.cast("bigint").alias("n_listed"))
+    for part in parts:
+        rows = rows.join(part, doc, "left")
+    return rows.select(doc, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_sections", "n_sup", "n_jpeg", "n_tables", "n_listed")])
+
+
 def red_flags(meta: DataFrame, plan: DataFrame, docling: DataFrame) -> DataFrame:
     """``doc_id, flags``: what a reader should look at in each paper, empty if nothing."""
     per = plan.select(

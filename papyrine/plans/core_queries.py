@@ -267,6 +267,14 @@ def sanity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _papers(spark, sf_dir).select("doc_id", *papers.sanity_counts(F.col("text")))
 
 
+@query
+def output_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = _papers(spark, sf_dir).select("doc_id", "text")
+    blocks = tables.table_blocks(texts)
+    refs = references_md(spark, sf_dir)
+    return papers.output_counts(section_texts(spark, sf_dir), figures.figure_records(_images(spark, sf_dir), texts), tables.data_tables(blocks, tables.classify(blocks)), refs)
+
+
 @query
 def count_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = table(spark, sf_dir, "meta").where("doc_id is not null").groupBy("doc_id").agg(F.max("n_figures").alias("n_figures"), F.max("n_tables").alias("n_tables"))

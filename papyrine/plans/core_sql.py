@@ -205,3 +205,8 @@ ORACLE: dict[str, str] = {
     "run_totals": "select journal, count(*) filter (status in ('ok', 'skipped')) as n_ok, count(*) as n_runs from (select distinct run_id, journal, status from shred_batch) group by journal",
     "skip_done": "select distinct stem from manuscript where stem is not null and stem not in (select stem from shred_batch where status = 'ok' and stem is not null)",
 }
+
+ORACLE["output_counts"] = f"""with r as ({ORACLE['references_md'].replace('with m as', 'with m as', 1)}), x as ({ORACLE['section_texts']}), f as ({ORACLE['figure_captions']}), d as ({ORACLE['data_tables']}),
+sx as (select doc_id, count(*) as n_sections, sum({sql_count('cleaned', '<sup>')}) as n_sup from x group by doc_id), fx as (select doc_id, count(*) filter (path like '%.jpeg') as n_jpeg from f group by doc_id), dx as (select doc_id, count(*) as n_tables from d group by doc_id)
+select doc_id, coalesce(n_sections, 0) as n_sections, coalesce(n_sup, 0)::bigint as n_sup, coalesce(n_jpeg, 0) as n_jpeg, coalesce(n_tables, 0) as n_tables, len(list_filter({sql_lines('content')}, lambda x: {full('x', rf'^{D}+[.]{S}')}))::bigint as n_listed
+from r left join sx using (doc_id) left join fx using (doc_id) left join dx using (doc_id)"""

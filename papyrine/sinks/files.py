@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Row
@@ -32,15 +31,41 @@ def numbered_files(rows: DataFrame, stems: DataFrame, folder: str, prefix: str,
     return rows.join(stems, "doc_id").select("stem", F.concat(F.lit(f"{folder}/{prefix}_"), F.lpad(F.col("n").cast("string"), 2, "0"), F.lit(".md")).alias("name"), F.col(content).alias("content"))
 
 
+def audit_files(rows: DataFrame, stems: DataFrame, name: str, doc: str = "doc_id") -> DataFrame:
+    """``stem, name, content``: the rows of an audit as one JSON array for each paper, in ``_raw``."""
+    own = F.struct(*[c for c in rows.columns if c != doc])
+    listed = rows.groupBy(doc).agg(F.to_json(F.array_sort(F.collect_list(own)), {"ignoreNullFields": "false"}).alias("content"))
+    return listed.join(stems, doc).select("stem", F.lit(f"_raw/{name}").alias("name"), "content")
+
+
+def raw_files(extracted: DataFrame) -> DataFrame:
+    """``stem, name, content`` of what a paper was made from: the source, the extractor's markdown and metadata; what is missing is left out."""
+    parts = F.array(*[F.struct(F.lit(f"_raw/{name}").alias("name"), F.col(c).cast("binary").alias("content")) for name, c in (("source.pdf", "content"), ("marker.md", "marker_md"), ("marker_meta.json", "marker_meta"))])
+    return extracted.select("stem", F.explode(F.filter(parts, lambda x: x["content"].isNotNull())).alias("f")).select("stem", "f.name", "f.content")
+
+
+def figure_copies(records: DataFrame, stems: DataFrame) -> DataFrame:
+    """``stem, name, path`` of the kept figures: where each image goes, beside its sidecar, and where it lies."""
+    nn = F.lpad(F.col("n").cast("string"), 2, "0")
+    ext = F.lower(F.regexp_extract("path", r"(\.[^./]*)\z", 1))
+    return records.join(stems, "doc_id").select("stem", F.concat(F.lit("figures/figure_"), nn, ext).alias("name"), "path")
+
+
 def write_files(files: DataFrame, root: str) -> None:
-    """Writes ``stem, name, content`` below ``root``, a folder that all executors share; each file is put in place whole, so a task that runs again does no harm."""
+    """Writes ``stem, name, content`` below ``root``, a folder or URI that all executors share; each file is put in place whole, so a task that runs again does no harm."""
 
     def run(rows: Iterable[Row]) -> None:
+        import os
+
+        from pyarrow.fs import FileSystem
+
+        fs, base = FileSystem.from_uri(root)
         for row in rows:
-            target = os.path.join(root, row["stem"], row["name"])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            with open(f"{target}.{os.getpid()}.part", "w", encoding="utf-8") as f:
-                f.write(row["content"] or "")
-            os.replace(f.name, target)
+            target = f"{base}/{row['stem']}/{row['name']}"
+            fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
+            content = row["content"] or ""
+            with fs.open_output_stream(f"{target}.{os.getpid()}.part") as f:
+                f.write(content.encode("utf-8") if isinstance(content, str) else bytes(content))
+            fs.move(f"{target}.{os.getpid()}.part", target)
 
     files.select("stem", "name", "content").foreachPartition(run)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,11 +24,20 @@ def _name(path: Column) -> Column:
 
 
 def pdfs(spark: SparkSession, target: str, contents: bool = False) -> DataFrame:
-    """``path, stem, length`` (and ``content``) of a PDF file or of all below a folder, without those in ``_raw`` folders."""
+    """``path, stem, length`` (and ``content``) of a PDF file or of all below a folder in order of their paths, without links and without those in ``_raw`` folders."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pdf").load(target)
-    files = files.where(~F.col("path").rlike("/_raw/"))
+    files = files.where(~F.col("path").rlike("/_raw/") & ~_is_link("path"))
     stem = sanitise(F.regexp_replace(_name(F.col("path")), r"\.pdf\z", ""))
-    return files.select("path", stem.alias("stem"), "length", *(["content"] if contents else []))
+    return files.select("path", stem.alias("stem"), "length", *(["content"] if contents else [])).orderBy("path")
+
+
+@F.pandas_udf(T.BooleanType())
+def _is_link(path: pd.Series) -> pd.Series:
+    """Whether a path of a mounted file system is a symbolic link; other stores have none."""
+    import os
+    from urllib.parse import unquote, urlparse
+
+    return path.map(lambda p: urlparse(p).scheme in ("", "file") and os.path.islink(unquote(urlparse(p).path)))
 
 
 def markdown(spark: SparkSession, path: str) -> DataFrame:
@@ -55,24 +66,55 @@ def page_count(marker_meta: Column) -> Column:
     return F.coalesce(F.when(listed.isNotNull(), F.size(listed)), F.get_json_object(marker_meta, "$.page_stats.n_pages").cast("int"))
 
 
+_IMAGE = re.compile(r"/(marker_out/[^/]+|docling_out/docling_pictures)/[^/]+\.(png|jpe?g)$")
+
+
 def images(spark: SparkSession, work: str) -> DataFrame:
-    """``path, source, rank, w, h, error`` of the extractors' images, sizes read from their headers."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{png,jpg,jpeg}").load(work)
-    files = files.where(F.col("path").rlike("/marker_out/[^/]+/[^/]+$|/docling_out/docling_pictures/[^/]+$"))
-    source = F.when(F.col("path").contains("/marker_out/"), "marker").otherwise("docling")
-    ext = F.regexp_extract("path", r"\.([a-z]+)$", 1)
-    order = F.when(source == "marker", F.array(F.lit("jpeg"), F.lit("jpg"), F.lit("png"))).otherwise(F.array(F.lit("png"), F.lit("jpeg"), F.lit("jpg")))
-    sized = files.withColumn("_size", _size(F.substring("content", 1, HEAD)))
-    # large segments may stand before the size; only such files travel whole
-    whole = _size(F.when(F.col("_size.w").isNull() & (F.length("content") > HEAD), F.col("content")))
-    sized = sized.withColumn("_whole", whole)
-    w, h = F.coalesce("_size.w", "_whole.w"), F.coalesce("_size.h", "_whole.h")
-    return sized.select("path", source.alias("source"), F.array_position(order, ext).alias("rank"), w.alias("w"), h.alias("h"), F.when(w.isNull(), F.lit("not an image")).alias("error"))
+    """``path, source, rank, w, h, error`` of the extractors' images below ``work``, a folder or URI that all executors share; sizes are read from their headers.
+
+    Names that begin with an underscore, as the first extractor gives them, are hidden from Spark's own
+    listing. So the folders directly below ``work`` become rows, and each task lists and reads its own.
+    """
+    from pyarrow.fs import FileSelector, FileSystem
+
+    fs, base = FileSystem.from_uri(work)
+    folders = [(x.path,) for x in fs.get_file_info(FileSelector(base, allow_not_found=True))]
+    cores = spark.sparkContext.defaultParallelism
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, _ = FileSystem.from_uri(work)
+        for batch in batches:
+            for folder in batch["folder"]:
+                rows = []
+                for info in store.get_file_info(FileSelector(folder, recursive=True)) if store.get_file_info(folder).type.name == "Directory" else ():
+                    if info.is_file and (m := _IMAGE.search(info.path)):
+                        source = "marker" if m[1].startswith("marker") else "docling"
+                        order = ["jpeg", "jpg", "png"] if source == "marker" else ["png", "jpeg", "jpg"]
+                        with store.open_input_file(info.path) as f:
+                            w, h = image_size(f.read(HEAD))
+                            if w is None and info.size > HEAD:  # large segments may stand before the size
+                                f.seek(0)
+                                w, h = image_size(f.read())
+                        rows.append((info.path, source, order.index(m[2]) + 1, w, h, None if w else "not an image"))
+                yield pd.DataFrame(rows, columns=["path", "source", "rank", "w", "h", "error"]).astype({"w": "Int32", "h": "Int32"})
+
+    listed = spark.createDataFrame(folders, "folder string").repartition(max(1, min(len(folders), 8 * cores)))
+    return listed.mapInPandas(run, "path string, source string, rank int, w int, h int, error string")
+
+
+def contents(files: DataFrame, root: str) -> DataFrame:
+    """``files`` with the bytes of the file at ``path`` as ``content``, read where the rows are; ``root`` names the store."""
+    from pyarrow.fs import FileSystem
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, _ = FileSystem.from_uri(root)
+        for batch in batches:
+            for k in range(len(batch)):  # one file at a time
+                one = batch.iloc[k : k + 1]
+                with store.open_input_file(one["path"].iloc[0]) as f:
+                    yield one.assign(content=[f.read()])
 
-@F.pandas_udf(T.StructType([T.StructField("w", T.IntegerType()), T.StructField("h", T.IntegerType())]))
-def _size(head: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([image_size(b"" if b is None else bytes(b)) for b in head], columns=["w", "h"]).astype("Int32")
+    return files.mapInPandas(run, T.StructType([*files.schema.fields, T.StructField("content", T.BinaryType())]))
 
 
 def image_size(head: bytes) -> tuple[int | None, int | None]:
@@ -89,29 +131,53 @@ def image_size(head: bytes) -> tuple[int | None, int | None]:
     return None, None
 
 
-def extract(files: DataFrame, extractor: Callable[[str, bytes], tuple[str | None, str | None]], retries: int = 1) -> DataFrame:
-    """``path, stem, marker_md, docling_json, error`` by an extractor of PDFs that is plugged in.
+#: What an extractor says that was given too much at once, fixed values of its messages.
+OVERFLOW = r"AcceleratorError|index 8192 is out of bounds|unpack_qkv_with_mask"
+
+Marker = Callable[[str, bytes, "int | None"], "tuple[str | None, str | None]"]
+Docling = Callable[[str, bytes], "str | None"]
+
 
-    The first output is mandatory, the second optional. A file that fails is tried again, then becomes a
-    row with its error; it never stops the others.
+def check_extractors(marker: Marker | None, docling: Docling | None) -> None:
+    """The first extractor is mandatory, the second optional."""
+    if not callable(marker):
+        raise ValueError("no extractor: give marker(path, content, batch_size) -> (markdown, metadata)")
+    if docling is not None and not callable(docling):
+        raise ValueError("docling must be docling(path, content) -> JSON, or None")
+
+
+def extract(files: DataFrame, marker: Marker, docling: Docling | None = None, retries: int = 1) -> DataFrame:
+    """``path, stem, marker_md, marker_meta, docling_json, error`` by extractors that are plugged in and run side by side.
+
+    The first is mandatory, the second optional: if it fails, its output is null. A file whose first
+    extraction fails by an overflow is tried again page by page, otherwise as it was; then it becomes a row
+    with its error, and never stops the others.
     """
+    check_extractors(marker, docling)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for path, stem, content in zip(batch["path"], batch["stem"], batch["content"]):
-                md = meta = error = None
-                for _ in range(retries + 1):
+        with ThreadPoolExecutor(2) as pool:
+            for batch in batches:
+                rows = []
+                for path, stem, content in zip(batch["path"], batch["stem"], batch["content"]):
+                    second = pool.submit(docling, path, bytes(content)) if docling else None
+                    md = meta = error = other = size = None
+                    for _ in range(retries + 1):
+                        try:
+                            md, meta = marker(path, bytes(content), size)
+                            error = None if md is not None else "no_marker_md"
+                            break
+                        except Exception as e:  # noqa: BLE001, the row tells
+                            error = f"extract_failed: {e}"[-500:]
+                            size = 1 if re.search(OVERFLOW, str(e)) else size
                     try:
-                        md, meta = extractor(path, bytes(content))
-                        error = None if md is not None else "no_marker_md"
-                        break
-                    except Exception as e:  # noqa: BLE001, the row tells
-                        error = f"extract_failed: {e}"[-500:]
-                rows.append((path, stem, md, meta, error))
-            yield pd.DataFrame(rows, columns=["path", "stem", "marker_md", "docling_json", "error"])
-
-    return files.mapInPandas(run, "path string, stem string, marker_md string, docling_json string, error string")
+                        other = second.result() if second else None
+                    except Exception:  # noqa: BLE001, the second output is optional
+                        other = None
+                    rows.append((path, stem, md, meta, other, error))
+                yield pd.DataFrame(rows, columns=["path", "stem", "marker_md", "marker_meta", "docling_json", "error"])
+
+    return files.mapInPandas(run, "path string, stem string, marker_md string, marker_meta string, docling_json string, error string")
 
 
 def pending(found: DataFrame, done: DataFrame, key: str = "stem") -> DataFrame:

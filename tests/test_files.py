@@ -1,9 +1,12 @@
 import json
 import os
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from papyrine.functions.patterns import yaml_list, yaml_str
+from papyrine.plans import pipeline
 from papyrine.session import broadcast_if_small, checkpoint
 from papyrine.sinks import files as sinks
 from papyrine.sources import files
@@ -14,7 +17,7 @@ JPEG = b"\xff\xd8\xff\xe0\0\x04ab\xff\xc0\0\x11\x08" + (300).to_bytes(2) + (400)
 
 
 def test_sources(spark, tmp_path):
-    for name, content in {"a b.pdf": b"x", "sub/c.pdf": b"y", "sub/_raw/source.pdf": b"z", "d.md": b"a\r\nb", "w/marker_out/s/p.png": PNG, "w/marker_out/s/q.jpeg": JPEG, "w/docling_out/docling_pictures/bad.png": b"no", "w/other/x.png": PNG}.items():
+    for name, content in {"a b.pdf": b"x", "sub/c.pdf": b"y", "sub/_raw/source.pdf": b"z", "d.md": b"a\r\nb", "w/marker_out/s/_p.png": PNG, "w/marker_out/s/q.jpeg": JPEG, "w/docling_out/docling_pictures/bad.png": b"no", "w/other/x.png": PNG}.items():
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / name).write_bytes(content)
     found = files.pdfs(spark, str(tmp_path), contents=True)
@@ -22,12 +25,62 @@ def test_sources(spark, tmp_path):
     assert [r["md"] for r in files.markdown(spark, str(tmp_path)).collect()] == ["a\nb"]
     assert sorted((r["source"], r["rank"], r["w"], r["h"], r["error"]) for r in files.images(spark, str(tmp_path / "w")).collect() if r["w"]) == [("marker", 1, 400, 300, None), ("marker", 3, 640, 480, None)]
 
-    def extractor(path, content):
+    os.symlink(tmp_path / "a b.pdf", tmp_path / "sub/link.pdf")
+    assert files.pdfs(spark, str(tmp_path)).count() == 2
+
+    def marker(path, content, batch_size):
         if content == b"y":
             raise ValueError("broken")
-        return "# md", None
-
-    assert sorted((r["marker_md"] or "", r["error"] or "") for r in files.extract(found, extractor).collect()) == [("", "extract_failed: broken"), ("# md", "")]
+        if batch_size is None:
+            raise ValueError("AcceleratorError in the layout")
+        return f"# md {batch_size}", "{}"
+
+    def docling(path, content):
+        if content == b"x":
+            raise ValueError("no second output")
+        return "{}"
+
+    got = files.extract(found, marker, docling).collect()
+    assert sorted((r["marker_md"] or "", r["docling_json"] or "", r["error"] or "") for r in got) == [("", "{}", "extract_failed: broken"), ("# md 1", "", "")]
+    for wrong in ((None, None), (marker, "docling")):
+        with pytest.raises(ValueError):
+            files.check_extractors(*wrong)
+
+
+PAPER = "# A study of receptor traffic in cells\n\n## Abstract\n\n" + "We saw it.<sup>1</sup> " * 20 + "\n\n## Methods\n\nAs before.\n\nFigure 1. The one figure. More.\n\n![](_page_0_Figure_1.jpeg)\n\n## Results\n\n| a | b | c |\n|---|---|---|\n| 1 | 2 | 3 |\n| 2 | 2 | 3 |\n| 3 | 2 | 3 |\n\n## References\n\n1. Smith J (2020) One.\n2. Doe A (2021) Two.\n"
+
+
+def test_pipeline(spark, tmp_path, capsys, monkeypatch):
+    plug = tmp_path / "plugged_marker.py"
+    plug.write_text(f"def marker(path, content, batch_size):\n    if content == b'bad':\n        raise ValueError('broken')\n    return {PAPER!r}, '{{}}'\n")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    spark.sparkContext.addPyFile(str(plug))
+    src, out, work = tmp_path / "in", tmp_path / "out", tmp_path / "work"
+    picture = work / "2024-01_Cell_x_PMID7/marker_out/s/_page_0_Figure_1.jpeg"
+    picture.parent.mkdir(parents=True)
+    picture.write_bytes(JPEG)
+    src.mkdir()
+    out.mkdir()
+    (src / "2024-01_Cell_x_PMID7.pdf").write_bytes(b"good")
+    call = [str(src), str(out), "--marker", "plugged_marker:marker", "--images", str(work), "--require-caption"]
+    assert pipeline.main(call, spark) == 0 and "1/1" in capsys.readouterr().out
+    paper = out / "2024-01_Cell_x_PMID7"
+    names = {str(p.relative_to(paper)) for p in paper.rglob("*.*") if not p.name.endswith(".crc")}
+    assert {"meta.json", "README.md", "references.md", "figures/figure_01.jpeg", "figures/figure_01.md", "tables/table_01.md", "_raw/source.pdf", "_raw/marker.md", "_raw/table_audit.json", "_raw/figure_audit.json"} <= names
+    assert sum(n.startswith("sections/") for n in names) == json.loads((paper / "meta.json").read_text())["n_sections"] > 2
+    assert (paper / "figures/figure_01.jpeg").read_bytes() == JPEG and (paper / "_raw/source.pdf").read_bytes() == b"good" and "The one figure" in (paper / "figures/figure_01.md").read_text()
+    assert json.loads((paper / "_raw/table_audit.json").read_text())[0]["verdict"] == "data"
+    (src / "bad.pdf").write_bytes(b"bad")
+    assert pipeline.main(call, spark) == 1 and "1/2" in capsys.readouterr().out
+    log = [json.loads(r["value"]) for r in spark.read.text(str(out / "_log")).collect()]
+    assert sorted(r["status"] for r in log) == ["extract_failed", "ok", "skipped"]
+    assert pipeline.main([str(tmp_path / "none"), str(out), "--marker", "plugged_marker:marker"], spark) == 1
+    assert pipeline.main([str(src), str(out), "--marker", "plugged_marker:nothing"], spark) == pipeline.main([], spark) == 2
+
+
+def test_yaml(spark):
+    row = spark.createDataFrame([('a "b"', ["x", "y"], ""), (None, [], None)], "s string, l array<string>, e string").select(yaml_str(F.col("s")), yaml_list(F.col("l")), yaml_str(F.col("e"))).collect()
+    assert [tuple(r) for r in row] == [('"a \\"b\\""', '\n  - "x"\n  - "y"', "null"), ("null", "null", "null")]
 
 
 def test_size_after_large_segments(spark, tmp_path):
