@@ -15,9 +15,10 @@ EXTRACTOR = "papyrine (batch)"
 
 
 def papers(manuscripts: DataFrame) -> DataFrame:
-    """``doc_id, stem, md, text`` of extracted papers, each once, ``text`` cleaned."""
-    src = spread(once(manuscripts.where(F.col("marker_md").isNotNull()), "doc_id", "stem", "marker_md"), "doc_id")
-    return src.select("doc_id", sanitise(F.col("stem")).alias("stem"), F.col("marker_md").alias("md")).withColumn("text", cleaning.mechanical_clean(F.col("md")))
+    """``doc_id, stem, md, text`` of extracted papers, each once, ``text`` cleaned, and ``extracted_at`` where it is known."""
+    known = [c for c in ("extracted_at",) if c in manuscripts.columns]
+    src = spread(once(manuscripts.where(F.col("marker_md").isNotNull()), "doc_id", "stem", "marker_md", *known), "doc_id")
+    return src.select("doc_id", sanitise(F.col("stem")).alias("stem"), F.col("marker_md").alias("md"), *known).withColumn("text", cleaning.mechanical_clean(F.col("md")))
 
 
 def docling_facts(docling: DataFrame) -> DataFrame:
@@ -64,7 +65,7 @@ def paper_meta(manuscripts: DataFrame, docling: DataFrame, images: DataFrame) ->
         sections.document_type(F.col("text"), F.col("heads"), F.col("name.journal")).alias("type"),
         F.col("name.doi").alias("doi"), F.col("name.pmid").alias("pmid"), F.col("name.journal").alias("journal"),
         F.lit(None).cast("string").alias("funder"), F.lit(None).cast("string").alias("grant_id"),
-        F.lit("_raw/source.pdf").alias("source_pdf"), F.lit(EXTRACTOR).alias("extractor"),
+        F.lit("_raw/source.pdf").alias("source_pdf"), F.lit(EXTRACTOR).alias("extractor"), *[c for c in ("extracted_at",) if c in plan.columns],
         "n_pages",
         F.size("sections").alias("n_sections"),
         F.when(F.col("refs_at").isNotNull(), references.best_estimate(counts)).otherwise(n_ids).alias("n_references"),
@@ -118,7 +119,8 @@ def red_flags(meta: DataFrame, plan: DataFrame, docling: DataFrame) -> DataFrame
             F.when(F.col("sup_body") != F.col("sup_sections"), F.lit("citations lost between sections")),
             F.when((F.col("n_references") < 5) & F.col("type").isin("paper", "grant"), F.lit("few references")),
             F.when(F.col("shortest") < 200, F.lit("short section")),
-            F.when(F.col("title").isNull() | F.col("authors").isNull(), F.lit("title or authors missing")),
+            # authors are not extracted, so that they would be missing everywhere
+            F.when(F.col("title").isNull(), F.lit("title missing")),
             F.when(F.abs(F.col("n_pictures") - F.col("n_figures")) > 1, F.lit("figure counts differ")),
             F.when(F.abs(F.col("docling_headings") - F.col("n_heads")) > 2, F.lit("heading counts differ")),
             F.when(F.col("title_source") == "filename", F.lit("title from the file name")),

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from papyrine.functions.patterns import rewrite
 from papyrine.operators import cleaning, figures, headings, papers, references, sections, tables, titles
 from papyrine.plans.core_sql import ORACLE as ORACLE
-from papyrine.operators.deliveries import once
+from papyrine.operators.deliveries import distinct_rows, once
 from papyrine.session import spread, table
 from papyrine.sources.filenames import parse_filename, sanitise
-from papyrine.sources.files import pending
+from papyrine.sources.files import docling_meta, key_values, pending
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -295,6 +295,24 @@ def skip_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending(table(spark, sf_dir, "manuscript").select("stem").distinct(), done)
 
 
+@query
+def docling_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The docling metadata written as JSON and read back as a source reads it."""
+    names = ("title", "headings", "n_pages", "n_pictures", "n_tables", "n_texts", "saved_pictures", "runtime_seconds")
+    rows = distinct_rows(table(spark, sf_dir, "docling_meta").select("doc_id", F.to_json(F.struct(*names)).alias("json")))
+    rows = rows.select("doc_id", docling_meta(F.col("json")).alias("d"))
+    told = F.array_join(F.transform("d.headings", lambda h: F.concat_ws(" ", h["level"].cast("string"), h["text"])), "\n")
+    return rows.select("doc_id", "d.title", "d.n_pages", "d.n_pictures", "d.n_tables", "d.n_texts", F.array_size("d.saved_pictures").alias("n_saved"), told.alias("told"))
+
+
+@query
+def key_value_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key-value lines as the extractor prints them; the last of equal keys counts, other lines do not."""
+    lines = F.concat_ws("\n", F.lit("status=begun"), F.concat(F.lit("stem="), "stem"), F.lit("no pair"), F.concat(F.lit("status=a="), "status"))
+    rows = table(spark, sf_dir, "shred_batch").select("run_id", lines.alias("text")).distinct().select("run_id", key_values(F.col("text")).alias("kv"))
+    return rows.select("run_id", F.try_element_at("kv", F.lit("stem")).alias("stem"), F.try_element_at("kv", F.lit("status")).alias("status"))
+
+
 @query
 def paper_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _meta(spark, sf_dir)

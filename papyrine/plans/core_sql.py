@@ -210,3 +210,6 @@ ORACLE["output_counts"] = f"""with r as ({ORACLE['references_md'].replace('with
 sx as (select doc_id, count(*) as n_sections, sum({sql_count('cleaned', '<sup>')}) as n_sup from x group by doc_id), fx as (select doc_id, count(*) filter (path like '%.jpeg') as n_jpeg from f group by doc_id), dx as (select doc_id, count(*) as n_tables from d group by doc_id)
 select doc_id, coalesce(n_sections, 0) as n_sections, coalesce(n_sup, 0)::bigint as n_sup, coalesce(n_jpeg, 0) as n_jpeg, coalesce(n_tables, 0) as n_tables, len(list_filter({sql_lines('content')}, lambda x: {full('x', rf'^{D}+[.]{S}')}))::bigint as n_listed
 from r left join sx using (doc_id) left join fx using (doc_id) left join dx using (doc_id)"""
+
+ORACLE["docling_json"] = "select distinct doc_id, title, n_pages, n_pictures, n_tables, n_texts, len(saved_pictures)::int as n_saved, array_to_string(list_transform(headings, lambda h: concat_ws(' ', h.level::varchar, h.text)), chr(10)) as told from docling_meta"
+ORACLE["key_value_logs"] = "select distinct run_id, stem, coalesce('a=' || status, 'begun') as status from shred_batch"

@@ -44,7 +44,7 @@ def shred(spark: SparkSession, target: str, out: str, marker: sources.Marker, do
     todo = sources.pending(found, before)
     extracted = checkpoint(sources.extract(todo, marker, docling))
     good = extracted.where("error is null").withColumn("doc_id", F.xxhash64("stem"))
-    manuscripts = good.select("doc_id", "stem", "marker_md")
+    manuscripts = good.select("doc_id", "stem", "marker_md", F.current_timestamp().alias("extracted_at"))
     meta_of = sources.docling_meta(F.col("docling_json"))
     docs = good.where("docling_json is not null").select("doc_id", meta_of.alias("d")).where("d is not null").select("doc_id", "d.*")
     pictures = spark.createDataFrame([], "doc_id bigint, path string, source string, w int, h int, error string")
@@ -59,7 +59,7 @@ def shred(spark: SparkSession, target: str, out: str, marker: sources.Marker, do
     blocks = tables.table_blocks(texts)
     data = tables.data_tables(blocks, tables.classify(blocks))
     records = checkpoint(figures.figure_records(kept, texts))
-    meta = checkpoint(papers.paper_meta(manuscripts, docs, pictures).withColumn("extracted_at", F.current_timestamp()))
+    meta = checkpoint(papers.paper_meta(manuscripts, docs, pictures))
     stems = good.select("doc_id", "stem")
     refs = planned.select("doc_id", references.references_document(F.col("text"), F.col("refs_at")).alias("content"))
     named = lambda rows, name: rows.join(stems, "doc_id").select("stem", F.lit(name).alias("name"), "content")

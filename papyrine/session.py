@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,8 @@ def _checkpoint_dir(spark: SparkSession) -> None:
     if not named:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        named = os.path.join(tempfile.gettempdir(), "papyrine-checkpoints")
+        named = tempfile.mkdtemp(prefix="papyrine-checkpoints-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     sc.setCheckpointDir(named)
 
 
