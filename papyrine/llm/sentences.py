@@ -47,6 +47,7 @@ MAX_SHARED = 50_000
 _BREAK = re.compile(r"\r?\n[^\S\n]*\r?\n\s*")
 _EDGE = frozenset("()[]{}\"“”„«»‹›‘「」『』,;:/")
 _NEXT = re.compile(r"\s*(\S+)")
+_BEGINNING = re.compile(r"\s*(\S{1,64})")  # enough of the next word to tell its first letter and its case
 _THAI = re.compile(r"[ก-๛]")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _CASELESS = re.compile(r"[֐-ࣿऀ-෿฀-໿぀-ヿ㐀-鿿가-힯]")
@@ -214,7 +215,7 @@ class Splitter:
                 while k > opening + 1 and text[k - 1].isspace():
                     k -= 1
                 if k > opening + 1 and text[k - 1] in ENDS:
-                    nxt = _NEXT.match(text, after, hi)
+                    nxt = _BEGINNING.match(text, after, hi)
                     word = nxt[1] if nxt else ""
                     goes_on = not word or _small(word) and word[0] != "(" or word[0] in ",;:—–-)…，、；：" or opens_sentence and _CASELESS.match(word)
                     if word and not goes_on:
@@ -241,7 +242,7 @@ class Splitter:
             while after < hi and text[after] in CLOSERS and after not in quotes:
                 after += 1
             blank = after >= hi or text[after].isspace()
-            nxt = _NEXT.match(text, after, hi)
+            nxt = _BEGINNING.match(text, after, hi)
             word = nxt[1] if nxt else ""
             if "…" in marks or "..." in marks:
                 ends = blank and not _CJK.match(word) and bool(word) and not _small(word) and word[0] not in ",;:"
