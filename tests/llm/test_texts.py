@@ -536,3 +536,31 @@ def test_sentence_rows(spark):
         by.setdefault(r["doc_id"], []).append(r["sentence"])
     assert by == {0: ["A one.", "B two.", "Table 4", "last line\nwith break.", "End"], 4: ["😀 Yes.", "No."], 5: ["x" * 50_000]}
     assert all(texts[r["doc_id"]][r["start_pos"] : r["end_pos"]] == r["sentence"] for r in sentences.sentences(docs(spark, texts)).collect())
+
+
+def test_empty_tables(spark):
+    nothing = docs(spark, ["x"]).where("false")
+    papers = nothing.withColumnRenamed("text", "marker_md").withColumn("docling_md", F.col("marker_md"))
+    runs = spark.createDataFrame([], "doc_id long, journal string")
+    heads = spark.createDataFrame([], "doc_id long, headings array<struct<text:string>>")
+    records = spark.createDataFrame([], "field string, id long, raw string")
+    sets = spark.createDataFrame([], "id long, hashes array<bigint>")
+    for result in (
+        furniture.without_repeated_lines(papers, runs), neardup.groups(sets, 0.6), lookalike.unify(records), split.pieces(papers, heads), scans.mended(papers), markup.residue(papers), markup.cleaned(papers),
+        tokens.encode(nothing), tokens.decode(tokens.encode(nothing)), leaks.without_leaks(nothing, nothing.withColumnRenamed("doc_id", "item_id")), sentences.sentences(nothing),
+    ):
+        assert result.count() == 0
+
+
+def test_hot_rows(spark):
+    """A third of all rows are one text under many ids, or one id: results stay whole."""
+    same = "Dr. Smith saw the protein.\n\nIt was gone!\n\nThe end."
+    texts = [same] * 40 + [f"Text number {i} is here. It ends." for i in range(80)]
+    df = docs(spark, texts)
+    assert sentences.sentences(df).where("doc_id < 40").groupBy("doc_id").count().where("count = 3").count() == 40
+    assert tokens.encode(df).where("doc_id < 40").select("ids").distinct().count() == 1
+    items = df.select(F.col("doc_id").alias("id"), words(F.col("text")).alias("ws")).select("id", window_hashes(F.col("ws"), 3).alias("hashes"))
+    grouped = neardup.groups(items, 0.99).where("id < 40")
+    assert grouped.select("group_id").distinct().count() == 1 and grouped.count() == 40
+    one_id = df.withColumn("doc_id", F.when(F.col("doc_id") < 40, F.lit(0)).otherwise(F.col("doc_id")))
+    assert sentences.sentences(one_id).where("doc_id = 0").count() == 3 and tokens.encode(one_id).count() == 81
