@@ -315,7 +315,8 @@ def key_value_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def paper_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _meta(spark, sf_dir)
+    lists = {c: F.array_join(c, " | ") for c in ("title_warnings", "sections")}
+    return _meta(spark, sf_dir).drop("extracted_at").withColumns(lists)
 
 
 @query

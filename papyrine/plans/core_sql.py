@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from papyrine.functions.patterns import D, S, quoted, sql_count, sql_lines, sql_rewrite, sql_strip, sql_strip_stars
-from papyrine.operators import cleaning, figures, headings, references, sections, tables, titles
+from papyrine.operators import cleaning, figures, headings, papers, references, sections, tables, titles
 from papyrine.sources.filenames import STEM
 
 RAW = "select distinct doc_id, marker_md as md from manuscript where doc_id is not null and marker_md is not null"
@@ -213,3 +213,15 @@ from r left join sx using (doc_id) left join fx using (doc_id) left join dx usin
 
 ORACLE["docling_json"] = "select distinct doc_id, title, n_pages, n_pictures, n_tables, n_texts, len(saved_pictures)::int as n_saved, array_to_string(list_transform(headings, lambda h: concat_ws(' ', h.level::varchar, h.text)), chr(10)) as told from docling_meta"
 ORACLE["key_value_logs"] = "select distinct run_id, stem, coalesce('a=' || status, 'begun') as status from shred_batch"
+
+_NAME = ", ".join(f"nullif(regexp_extract(stem, {quoted(STEM)}, {k}), '') as {n}" for k, n in ((1, "year"), (3, "journal"), (5, "pmid"), (6, "doi")))
+ORACLE["paper_meta"] = f"""with x as ({ORACLE['section_texts']}), t as ({ORACLE['title_pick']}), r as ({ORACLE['refs_audit']}), c as ({ORACLE['citation_style']}), y as ({ORACLE['doc_types']}), k as ({ORACLE['section_kinds']}), f as ({ORACLE['figure_audit']}), d as ({ORACLE['table_audit']}),
+m as (select distinct doc_id, {STEMMED} as stem from manuscript where doc_id is not null and marker_md is not null), nm as (select *, {_NAME} from m), dl as (select distinct doc_id, title as docling_title, n_pages from docling_meta where doc_id is not null),
+sx as (select doc_id, count(*)::int as n_sections, string_agg(slug || '.md', ' | ' order by n) as sections from x group by doc_id), kx as (select distinct doc_id from k where kind = 'references')
+select doc_id, stem, t.title, t.source as title_source, array_to_string(list_filter([case when dl.doc_id is null then 'docling_meta.json not found' end,
+    case when t.source in ('body_table', 'body_heading') and reason is null and lower({sql_strip('t.title')}) <> lower({sql_strip('docling_title')}) then 'body title differs from docling title (docling: ''' || docling_title || ''')' end,
+    case when t.source = 'body_h1' then 'docling title rejected (' || reason || '); using body H1' end, case when t.source = 'filename' then 'no body title found and docling rejected; using filename stem' end], lambda w: w is not null), ' | ') as title_warnings,
+  null::varchar as authors, year::int as year, doc_type as type, doi, pmid, journal, null::varchar as funder, null::varchar as grant_id, '_raw/source.pdf' as source_pdf, '{papers.EXTRACTOR}' as extractor, n_pages, coalesce(n_sections, 0) as n_sections,
+  case when kx.doc_id is not null then n_refs_estimate else n_pmids + n_dois end as n_references, likely_truncated as refs_likely_truncated, style as citation_style, n_dominant as n_citations_inline, coalesce(sections, '') as sections,
+  coalesce(n_kept, 0)::int as n_figures, coalesce(n_data, 0)::int as n_tables
+from nm join t using (doc_id) join r using (doc_id) join c using (doc_id) join y using (doc_id) left join dl using (doc_id) left join sx using (doc_id) left join kx using (doc_id) left join f using (doc_id) left join d using (doc_id)"""
