@@ -86,7 +86,7 @@ def p7_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentences.sentences(table(spark, sf_dir, "documents")).select("doc_id", "start_pos", "end_pos")
+    return sentences.sentences(table(spark, sf_dir, "documents"), with_text=False)
 
 
 def p10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -307,11 +307,13 @@ def usual_starts(docs: DataFrame, text: str = "text") -> DataFrame:
     return counts.where(F.col("_n") >= least).select("word")
 
 
-def sentences(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def sentences(docs: DataFrame, doc: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
     """``doc, start_pos, end_pos, sentence`` of every document once; null, empty and blank texts have none.
 
-    Positions count code points from 0, the end is exclusive. Documents are split where they lie.
+    Positions count code points from 0, the end is exclusive; without ``with_text`` there are only these.
+    Documents are split where they lie.
     """
+    names = ["_doc", "start_pos", "end_pos", "sentence"][: 4 if with_text else 3]
     src = once(docs, doc, text).where(F.col(text).isNotNull()).select(F.col(doc).cast("bigint").alias("_doc"), F.col(text).alias("_text"))
     starts = frozenset(r["word"] for r in usual_starts(docs, text).collect())  # at most one over START_SHARE
     listed = corpus_abbreviations(docs, text).limit(MAX_SHARED + 1).collect()
@@ -329,10 +331,12 @@ def sentences(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataF
             rows = []
             for d, t, abbr in zip(batch["_doc"], batch["_text"], batch["_abbr"]):
                 corpus = whole if abbr is None else _corpus([(x["word"], x["kind"]) for x in abbr], starts)
-                rows.extend((d, a, b, t[a:b]) for a, b in Splitter(t, corpus).spans())
-            yield pd.DataFrame(rows, columns=["_doc", "start_pos", "end_pos", "sentence"])
+                spans = Splitter(t, corpus).spans()
+                rows.extend([(d, a, b, t[a:b]) for a, b in spans] if with_text else [(d, a, b) for a, b in spans])
+            yield pd.DataFrame(rows, columns=names)
 
-    return src.mapInPandas(run, "_doc bigint, start_pos bigint, end_pos bigint, sentence string").withColumnRenamed("_doc", doc)
+    schema = "_doc bigint, start_pos bigint, end_pos bigint" + ", sentence string" * with_text
+    return src.mapInPandas(run, schema).withColumnRenamed("_doc", doc)
 
 
 def _corpus(listed: list[tuple[str, str]], starts: frozenset[str]) -> Corpus:
