@@ -225,3 +225,11 @@ select doc_id, stem, t.title, t.source as title_source, array_to_string(list_fil
   case when kx.doc_id is not null then n_refs_estimate else n_pmids + n_dois end as n_references, likely_truncated as refs_likely_truncated, style as citation_style, n_dominant as n_citations_inline, coalesce(sections, '') as sections,
   coalesce(n_kept, 0)::int as n_figures, coalesce(n_data, 0)::int as n_tables
 from nm join t using (doc_id) join r using (doc_id) join c using (doc_id) join y using (doc_id) left join dl using (doc_id) left join sx using (doc_id) left join kx using (doc_id) left join f using (doc_id) left join d using (doc_id)"""
+
+ORACLE["qc_red_flags"] = f"""with recursive {PAPERS}, {HEADS}, {ANCHORS}, {SECTIONS}, {TITLES}, {FILES}, pm as ({ORACLE['paper_meta']}),
+hx as (select doc_id, count(*) as n_heads from h group by doc_id), sx as (select doc_id, min(e - s) as shortest, sum({sql_count('substr(text, s + 1, e - s)', '<sup>')}) as sup_sections from filed join m using (doc_id) group by doc_id),
+bx as (select doc_id, {sql_count('left(text, body_end)', '<sup>')} as sup_body from e), dl as (select distinct doc_id, n_pictures, len(headings) as n_docling from docling_meta where doc_id is not null)
+select doc_id, array_to_string(list_filter([case when n_sections > {sections.MOST} then 'too many sections' end, case when sup_body <> coalesce(sup_sections, 0) then 'citations lost between sections' end,
+  case when n_references < 5 and type in ('paper', 'grant') then 'few references' end, case when coalesce(shortest, 0) < 200 then 'short section' end, case when title is null then 'title missing' end,
+  case when abs(n_pictures - n_figures) > 1 then 'figure counts differ' end, case when abs(n_docling - coalesce(n_heads, 0)) > 2 then 'heading counts differ' end, case when title_source = 'filename' then 'title from the file name' end], lambda w: w is not null), '; ') as flags
+from pm join bx using (doc_id) left join sx using (doc_id) left join hx using (doc_id) left join dl using (doc_id)"""
