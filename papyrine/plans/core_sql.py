@@ -233,3 +233,21 @@ select doc_id, array_to_string(list_filter([case when n_sections > {sections.MOS
   case when n_references < 5 and type in ('paper', 'grant') then 'few references' end, case when coalesce(shortest, 0) < 200 then 'short section' end, case when title is null then 'title missing' end,
   case when abs(n_pictures - n_figures) > 1 then 'figure counts differ' end, case when abs(n_docling - coalesce(n_heads, 0)) > 2 then 'heading counts differ' end, case when title_source = 'filename' then 'title from the file name' end], lambda w: w is not null), '; ') as flags
 from pm join bx using (doc_id) left join sx using (doc_id) left join hx using (doc_id) left join dl using (doc_id)"""
+
+
+def _listed(source: str, kind: str, label: str, text: str) -> str:
+    line = f"'- [[{kind}s/{kind}_' || lpad(n::varchar, 2, '0') || '|{label} ' || n || case when {text} <> '' then ' — ' || {text} else '' end || ']]'"
+    return f"(select doc_id, string_agg({line}, chr(10) order by n) as {kind}_lines from ({ORACLE[source]}) group by doc_id)"
+
+
+_FRONT = [
+    ("title", "'\"' || shown || '\"'"), ("authors", "'null'"), ("year", "coalesce(year::varchar, 'null')"), ("type", "type"), ("doi", "coalesce('\"' || doi || '\"', 'null')"), ("journal", "coalesce('\"' || journal || '\"', 'null')"),
+    ("pmid", "coalesce(pmid, 'null')"), ("source", "source_pdf"), ("extracted", "strftime(current_date, '%Y-%m-%d')"), ("extractor", "extractor"),
+]
+_HEAD = "array_to_string(['---', " + ", ".join(f"'{k}: ' || {v}" for k, v in _FRONT) + ", 'tags:', '  - ' || type, '---'], chr(10))"
+ORACLE["paper_readme"] = f"""with recursive {PAPERS}, {HEADS}, {ANCHORS}, {SECTIONS}, {TITLES}, {FILES}, pm as (select *, replace(title, '"', chr(39)) as shown from ({ORACLE['paper_meta']})),
+toc as (select doc_id, string_agg('- [[sections/' || slug || '|' || title || ']]', chr(10) order by n) as toc from files group by doc_id)
+select doc_id, {_HEAD} || chr(10) || chr(10) || '# ' || shown || chr(10) || chr(10) || '> **Source:** `' || stem || '.pdf`' || chr(10) || '> **Type:** ' || type || ' · **Year:** ' || coalesce(year::varchar, '—') || ' · **DOI:** ' || coalesce(doi, '—') || ' · **PMID:** ' || coalesce(pmid, '—')
+  || chr(10) || chr(10) || '## Sections' || chr(10) || chr(10) || coalesce(toc, '') || chr(10) || chr(10) || coalesce('## Figures' || chr(10) || chr(10) || figure_lines || chr(10) || chr(10), '') || coalesce('## Tables' || chr(10) || chr(10) || table_lines || chr(10) || chr(10), '')
+  || '## References' || chr(10) || chr(10) || '[[references|' || n_references || ' references]]' || chr(10) as content
+from pm left join toc using (doc_id) left join {_listed('figure_captions', 'figure', 'Figure', 'caption')} using (doc_id) left join {_listed('data_tables', 'table', 'Table', 'preview')} using (doc_id)"""
