@@ -3,16 +3,17 @@
 An averaged perceptron edits: it scores keeping a word, replacing a letter or pair of it, deleting or
 inserting a letter, and joining a line with the next. An edit must give a common word, but which edits
 are misreadings it learns: from common words of the corpus that are misread on purpose, by what letters
-look like and by the edits that the scanned papers of a sample turn out to need, and from words and
-compounds of papers that are not scanned, which are right as they stand. A second one of its kind takes
-page numbers and running headers by their form and by where on the page they stand; it learns from the
-lines of the sample that count on from page to page.
+look like and by the edits that the scanned papers turn out to need, and from words and compounds of
+papers that are not scanned, which are right as they stand. A second one of its kind takes page numbers
+and running headers by their form and by where on the page they stand; it learns from the lines that
+count on from page to page. Both learn from all papers.
 """
 
 from __future__ import annotations
 
 import random
 import re
+import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from difflib import SequenceMatcher
@@ -37,10 +38,10 @@ HYPHENS = "-¬‐\xad"
 #: A word is common if this share of the documents has it, and at least so many. The share bounds the list: it cannot exceed the mean number of words of a document divided by it.
 COMMON_SHARE, COMMON_DOCS = 0.002, 5
 
-#: Papers of the sample that training material is taken from, words of each kind that the editor is trained on at most, lines for the other, and passes over them.
-SAMPLE_PAPERS, TRAINING_WORDS, TRAINING_LINES, EPOCHS = 4000, 3000, 6000, 3
+#: Words misread on purpose in a training at least, passes over what it is trained on, and words and joins of the papers that one training takes; more are shared among several, whose weights are averaged.
+MISREADINGS, EPOCHS, SHARD = 6000, 3, 20_000
 
-#: Words of the sample that an edit has to mend before it counts as a misreading that happens, and its share of all such words.
+#: Words of the scanned papers that an edit has to mend before it counts as a misreading that happens, and its share of all such words.
 SEEN_EDITS, EDIT_SHARE = 3, 0.01
 
 #: A page number may follow another by so much, the pages between being unnumbered or misread.
@@ -63,7 +64,12 @@ _SUSPECT = [
 _DRESSED = re.compile(r"page|pg|p\.|s\.|seite|[—\[/]|\d\s*(?:of|von)\s*\d|^[-–•·|~*=<].*[-–•·|~*=>]$", re.IGNORECASE)
 _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
 _TOKEN = re.compile(r"[^\s()\[\]{}<>\"“”„«»|/*_`#,;:]+")
-_WORD = re.compile(r"(?<![\w-])[^\W_]+(?:-[^\W_]+)*(?![\w-])")
+_BEFORE, _AFTER = "'‘.~", ".?'’¬‐\xad"
+
+#: The same for the JVM: lines that have no words to mend, parts of tokens between hyphens, and whole words.
+_NO_TEXT = [r"(?dms)^```.*?(?:\n```|\z)", r"(?dm)^(?:\||\{\p{Nd}+\}-{8,})[^\n]*"]
+_PART = r"[^\s\x{1C}-\x{1F}\x{85}\p{Z}()\[\]{}<>\"“”„«»|/*_`#,;:\-]+"
+_WORD = r"(?<![\p{L}\p{N}_\-])[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*+(?![\p{L}\p{N}_\-])"
 
 
 def page_value(digits: str) -> int | None:
@@ -339,8 +345,8 @@ def edited(word: str, edit: Edit) -> str:
     return word[:at] + written + word[at + len(read) :]
 
 
-def join_features(left: str, sign: str, right: str, lexicon: Lexicon) -> list[str]:
-    """What speaks for and against joining the last word of a line with the first of the next: known words, and the letters at the cut."""
+def join_facts(left: str, sign: str, right: str, lexicon: Lexicon) -> list[str]:
+    """What speaks for and against joining the last word of a line with the first of the next: eight facts on known words and forms, and the letters at the cut."""
     common, own = lexicon.common, left.split("-")[-1]
     facts = [
         f"sign={sign}", f"joined={(own + right).lower() in common}", f"kept={f'{left}-{right}'.lower() in common}", f"left={own.lower() in common}", f"right={right.lower() in common}",
@@ -348,21 +354,28 @@ def join_features(left: str, sign: str, right: str, lexicon: Lexicon) -> list[st
     ]
     a, b = own.lower(), re.sub(r"\d", "9", right.lower())
     letters = [f"end={a[-2:]}", f"begin={b[:2]}", f"cut={a[-2:]}-{b[:2]}", f"rest={min(len(b), 6)}"]
-    return [*facts, *letters, *(f"{x}&{y}" for i, x in enumerate(facts) for y in facts[i + 1 :])]
+    return [*facts, *letters]
+
+
+def join_features(facts: list[str]) -> list[str]:
+    """The facts of ``join_facts``, and all pairs of those that are no letters."""
+    return [*facts, *(f"{x}&{y}" for i, x in enumerate(facts[:8]) for y in facts[i + 1 : 8])]
 
 
 class Material:
-    """What a sample of papers gives for training: edits that mend words of scanned papers; of other papers words that an edit could change and yet are right, rare words and compounds; lines that may be furniture."""
+    """What papers give for training: edits that mend words of scanned papers; of other papers words that an edit could change and yet are right, rare words and compounds, or the facts of their joins; lines that may be furniture."""
 
-    def __init__(self, edits: dict[tuple[str, str], int] | None = None, right: Iterable[str] = (), words: Iterable[str] = (), compounds: Iterable[str] = (), lines: Iterable[tuple[str, list[str]]] = ()) -> None:
-        self.edits, self.right, self.words, self.compounds, self.lines = edits or {}, list(right), list(words), list(compounds), list(lines)
+    def __init__(
+        self, edits: dict[tuple[str, str], int] | None = None, right: Iterable[str] = (), words: Iterable[str] = (), compounds: Iterable[str] = (), lines: Iterable[tuple[str, list[str]]] = (), joins: Iterable[tuple[list[str], bool]] = ()
+    ) -> None:
+        self.edits, self.right, self.words, self.compounds, self.lines, self.joins = edits or {}, list(right), list(words), list(compounds), list(lines), list(joins)
 
 
 def train_editor(lexicon: Lexicon, material: Material, seed: int = 7) -> Perceptron:
-    """An editor from at most ``TRAINING_WORDS`` common words, misread and cut in random places, and as many words and compounds that are right."""
+    """An editor from all common words, misread and cut in random places, and the words and compounds that are right."""
     draw = random.Random(seed)
     words = sorted(w for w in lexicon.common if len(w) >= 4 and w.isascii() and "-" not in w)
-    words = draw.sample(words, min(TRAINING_WORDS, len(words)))
+    draw.shuffle(words)
     misread: dict[str, list[str]] = {}  # written -> what it is read as, as often as it happens
     least = max(SEEN_EDITS, EDIT_SHARE * sum(material.edits.values()))
     for (read, written), n in [*((e, least) for e in CONFUSIONS.items()), *material.edits.items()]:
@@ -370,7 +383,7 @@ def train_editor(lexicon: Lexicon, material: Material, seed: int = 7) -> Percept
             misread.setdefault(written.lower(), []).extend([read] * int(min(n, 20)))
     samples: list[list[tuple[list[str], bool]]] = []
     for word in words:
-        for _ in range(-(-2 * TRAINING_WORDS // len(words))):  # as many in all, however few words are common
+        for _ in range(-(-MISREADINGS // len(words))):  # as many in all, however few words are common
             spots = [(i, size) for i in range(len(word)) for size in (0, 1, 2) if word[i : i + size] in misread and len(word[i : i + size]) == size]
             if spots:
                 i, size = draw.choice(spots)
@@ -388,23 +401,25 @@ def train_editor(lexicon: Lexicon, material: Material, seed: int = 7) -> Percept
             samples.append([(f, not (e[1] or e[2])) for e, f in lexicon.alternatives(other, "no")])
     samples += [[(f, not (e[1] or e[2])) for e, f in lexicon.alternatives(w)] for w in material.right]
 
-    def joining(left: str, sign: str, right: str, known: Lexicon, joins: bool) -> None:
-        facts = join_features(left, sign, right, known)
-        samples.append([([f"join:{f}" for f in facts], joins), ([f"stay:{f}" for f in facts], not joins)])
+    def joining(facts: list[str], joins: bool) -> None:
+        features = join_features(facts)
+        samples.append([([f"join:{f}" for f in features], joins), ([f"stay:{f}" for f in features], not joins)])
 
     for word in [*words, *material.words]:
         if len(word) > 4:
             cut = draw.randrange(2, len(word) - 1)
-            joining(word[:cut], draw.choice(HYPHENS), word[cut:], lexicon, True)
+            joining(join_facts(word[:cut], draw.choice(HYPHENS), word[cut:], lexicon), True)
     for compound in [*sorted(w for w in lexicon.common if "-" in w), *material.compounds]:
         left, right = compound.rsplit("-", 1)
         if left and right:
-            joining(left, "-", right, lexicon, False)
+            joining(join_facts(left, "-", right, lexicon), False)
+    for facts, joins in material.joins:
+        joining(facts, joins)
     return Perceptron().train([s for s in samples if len(s) > 1])
 
 
 def train_taker(material: Material) -> Perceptron | None:
-    """A taker of furniture from the lines of the sample; none if no line of it is furniture."""
+    """A taker of furniture from the lines; none if no line is furniture."""
     if not any(kind for kind, _ in material.lines):
         return None
     samples = []
@@ -422,7 +437,7 @@ class Model:
 
 
 def _joins(left: str, sign: str, right: str, model: Model) -> bool:
-    facts = join_features(left, sign, right, model.lexicon)
+    facts = join_features(join_facts(left, sign, right, model.lexicon))
     return model.editor.score([f"join:{f}" for f in facts]) > model.editor.score([f"stay:{f}" for f in facts])
 
 
@@ -549,8 +564,8 @@ def _parts(token: str, where: list[tuple[int, int, int]]) -> Iterator[tuple[str,
     """The words of a token between hyphens, without the signs around them."""
     offset = 0
     for part in token.split("-"):
-        bare = part.rstrip(".?'’¬‐\xad")
-        lead = len(bare) - len(bare.lstrip("'‘.~"))
+        bare = part.rstrip(_AFTER)
+        lead = len(bare) - len(bare.lstrip(_BEFORE))
         at = offset + lead
         offset += len(part) + 1
         if bare[lead:]:
@@ -572,7 +587,7 @@ def lexicon_of(docs: DataFrame, doc: str, text: str) -> tuple[Lexicon, int]:
     n = src.count()
     found = F.regexp_extract_all(F.col(text), F.lit(r"(?<![\p{L}\p{N}\-@!])([a-zß-ÿ]+(?:-[a-zß-ÿ]+)*)(?![\p{L}\p{N}@!])"), 1)
     clean = F.when(~_suspect(F.col(text)), F.col(doc)).alias("c")
-    seen = src.select(clean, F.array_distinct(found).alias("ws")).select("c", F.explode("ws").alias("w"))
+    seen = src.select(clean, F.array_distinct(found).alias("ws")).select("c", F.explode_outer("ws").alias("w")).where(F.col("w").isNotNull())
     counts = checkpoint(seen.groupBy("w").agg(F.count(F.lit(1)).alias("df"), (F.min("c") < F.max("c")).alias("clean")))
     least = max(COMMON_DOCS, COMMON_SHARE * n)
     common = frozenset(r["w"] for r in counts.where(F.col("df") >= least).select("w").collect())
@@ -586,51 +601,97 @@ def lexicon_of(docs: DataFrame, doc: str, text: str) -> tuple[Lexicon, int]:
     return Lexicon(common, (r["w"] for r in attested.collect()) if attested is not None else ()), n
 
 
-def material_of(docs: DataFrame, doc: str, text: str, lexicon: Lexicon, n: int) -> tuple[Lexicon, Material]:
-    """Training material from about ``SAMPLE_PAPERS`` papers, drawn by a hash of their key, reduced to counts where they lie.
+def clean_material(docs: DataFrame, doc: str, text: str, lexicon: Lexicon) -> DataFrame:
+    """``kind, a, flag`` from all papers that cannot stem from scanned pages, one row for each ``kind, a``.
 
-    Words that two papers of the sample have, which are not scanned, are attested in whatever case.
+    ``right``: a word that an edit could change, flagged if two papers have it. ``join``: the facts of a
+    rare word cut in a place that its hash gives, or of a compound, flagged if more words than compounds
+    have them. Words are found and counted in the JVM; only distinct ones leave it.
+    """
+    clean = spread(docs.where(F.col(text).isNotNull()).select(doc, text), doc).where(~_suspect(F.col(text)))
+    prose = reduce(lambda t, pattern: F.regexp_replace(t, F.lit(pattern), F.lit(" ")), _NO_TEXT, F.col(text))
+    parts = F.transform(F.array_distinct(F.regexp_extract_all(prose, F.lit(_PART), F.lit(0))), lambda w: F.concat(F.lit("p"), F.ltrim(F.rtrim(w, F.lit(_AFTER)), F.lit(_BEFORE))))
+    whole = F.transform(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(_WORD), F.lit(0))), lambda w: F.concat(F.lit("w"), w))
+    tagged = clean.select(F.col(doc).alias("d"), F.explode_outer(F.concat(parts, whole)).alias("w")).where((F.length("w") > 3) & ~F.col("w").rlike("^p[0-9]*$"))
+    counts = tagged.groupBy("w").agg(F.coalesce(F.min("d") < F.max("d"), F.lit(False)).alias("twice"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows: list[tuple[str, str, bool]] = []
+            for tagged_word, twice in zip(batch["w"], batch["twice"]):
+                word = tagged_word[1:]
+                if tagged_word[0] == "p":
+                    if word.lower() not in lexicon.common and not word.isdigit() and lexicon.edits(word):
+                        rows.append(("right", word, twice))
+                elif "-" in word:
+                    left, right = word.rsplit("-", 1)
+                    rows.append(("join", "\t".join(join_facts(left, "-", right, lexicon)), False))
+                elif len(word) > 4 and word.lower() not in lexicon.common and word.isalpha() and word[1:].islower():
+                    h = zlib.crc32(word.encode())
+                    cut = 2 + h % (len(word) - 3)
+                    rows.append(("join", "\t".join(join_facts(word[:cut], HYPHENS[(h >> 16) % len(HYPHENS)], word[cut:], lexicon)), True))
+            yield pd.DataFrame(rows, columns=["kind", "a", "flag"])
+
+    found = counts.mapInPandas(run, "kind string, a string, flag boolean")
+    return checkpoint(found.groupBy("kind", "a").agg((F.avg(F.col("flag").cast("int")) > 0.5).alias("flag")))
+
+
+def scanned_material(docs: DataFrame, doc: str, text: str, lexicon: Lexicon) -> Material:
+    """Edits and lines from all papers that may stem from scanned pages, reduced to counts where they lie.
+
+    Lines are told apart by their features, which bounds their number.
     """
-    share = min(1.0, SAMPLE_PAPERS / max(n, 1))
-    drawn = docs.where(F.col(text).isNotNull() & (F.pmod(F.xxhash64(F.col(doc), F.lit(6)), F.lit(1 << 30)) < int(share * (1 << 30))))
-    drawn = spread(drawn, doc).select(F.col(doc).cast("string").alias("_doc"), F.col(text).alias("_text"), _suspect(F.col(text)).alias("_suspect"))
+    suspects = spread(docs.where(F.col(text).isNotNull() & _suspect(F.col(text))).select(doc, text), doc).select(F.col(text).alias("_text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows: set[tuple[str, str, str, str]] = set()
-            for d, t, suspect in zip(batch["_doc"], batch["_text"], batch["_suspect"]):
-                lines = t.split("\n")
-                for _, kind, features in line_facts(lines) if suspect else ():
-                    rows.add(("line", kind, "\t".join(features), ""))
+            for t in batch["_text"]:
+                rows.update(("line", kind, "\t".join(features), "") for _, kind, features in line_facts(t.split("\n")))
                 page = Page(t)
-                if suspect and not page.scanned:
-                    continue
-                for word in dict.fromkeys(w for w, _ in page.words()):
-                    edits = lexicon.edits(word) if len(word) >= 3 and lexicon.known(word) != "common" and not word.isdigit() else []
-                    if edits and not suspect:
-                        rows.add(("right", word, "", d))
-                    elif len({edited(word, e).lower() for e in edits}) == 1 and len(word) >= 4 and lexicon.known(word) == "no":
+                for word in dict.fromkeys(w for w, _ in page.words()) if page.scanned else ():
+                    edits = lexicon.edits(word) if len(word) >= 4 and lexicon.known(word) == "no" and not word.isdigit() else []
+                    if len({edited(word, e).lower() for e in edits}) == 1:
                         rows.update(("edit", e[1], e[2], word.lower()) for e in edits)
-                for word in () if suspect else dict.fromkeys(_WORD.findall(t)):
-                    if "-" in word:
-                        rows.add(("compound", word, "", ""))
-                    elif len(word) >= 4 and word.lower() not in lexicon.common and word.isalpha() and word[1:].islower():
-                        rows.add(("word", word, "", ""))
             yield pd.DataFrame(sorted(rows), columns=["kind", "a", "b", "c"])
 
-    seen = checkpoint(drawn.mapInPandas(run, "kind string, a string, b string, c string").distinct())
-    edits = {(r["a"], r["b"]): r["n"] for r in seen.where("kind = 'edit'").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SEEN_EDITS).collect()}
-    some = lambda kind, most: [tuple(r) for r in seen.where(F.col("kind") == kind).select("a", "b").distinct().orderBy(F.xxhash64("a", "b"), "a", "b").limit(most).collect()]
-    right = seen.where("kind = 'right'").groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    twice = [r["a"].lower() for r in right.where("n > 1").select("a").collect()]
-    return Lexicon(lexicon.common, lexicon.attested.union(twice)), Material(edits, *[(a for a, _ in some(kind, TRAINING_WORDS)) for kind in ("right", "word", "compound")], ((a, b.split("\t")) for a, b in some("line", TRAINING_LINES)))
+    seen = checkpoint(suspects.mapInPandas(run, "kind string, a string, b string, c string").distinct())
+    edits = seen.where("kind = 'edit'").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SEEN_EDITS).orderBy("a", "b").collect()
+    lines = seen.where("kind = 'line'").select("a", "b").orderBy(F.xxhash64("a", "b"), "a", "b").collect()
+    return Material({(r["a"], r["b"]): r["n"] for r in edits}, lines=((r["a"], r["b"].split("\t")) for r in lines))
+
+
+def editor_of(clean: DataFrame, lexicon: Lexicon, edits: dict[tuple[str, str], int]) -> Perceptron:
+    """An editor from all rows of ``clean_material``: trained on shards that a hash draws, on common words in each, and averaged over them."""
+    spark = clean.sparkSession
+    shards = max(1, -(-clean.count() // SHARD))
+    shared = spark.sparkContext.broadcast(lexicon)
+    items = clean.select(F.pmod(F.xxhash64("kind", "a"), F.lit(shards)).alias("shard"), "kind", "a", "flag")
+    items = items.unionByName(spark.range(shards).select(F.col("id").alias("shard"), F.lit("none").alias("kind"), F.lit("").alias("a"), F.lit(False).alias("flag")))
+
+    def run(key: tuple[int], shard: pd.DataFrame) -> pd.DataFrame:
+        rows = sorted(zip(shard["kind"], shard["a"], shard["flag"]))
+        joins = [(a.split("\t"), bool(flag)) for kind, a, flag in rows if kind == "join"]
+        editor = train_editor(shared.value, Material(edits, [a for kind, a, _ in rows if kind == "right"], joins=joins), 7 + int(key[0]))
+        return pd.DataFrame(editor.weights.items(), columns=["feature", "weight"])
+
+    weights = items.groupBy("shard").applyInPandas(run, "feature string, weight double").groupBy("feature").agg(F.array_sort(F.collect_list("weight")).alias("ws"))
+    editor = Perceptron()
+    editor.weights = {r["feature"]: sum(r["ws"]) / shards for r in weights.collect()}
+    return editor
 
 
 def fit(docs: DataFrame, doc: str = "doc_id", text: str = "marker_md") -> Model:
-    """The model of a corpus: words counted over all its documents, editor and taker trained on the bounded sample."""
-    lexicon, n = lexicon_of(docs, doc, text)
-    lexicon, material = material_of(docs, doc, text, lexicon, n)
-    return Model(lexicon, train_editor(lexicon, material), train_taker(material))
+    """The model of a corpus: words counted, editor and taker trained over all its documents.
+
+    Words that two papers have, which are not scanned, are attested in whatever case.
+    """
+    lexicon, _ = lexicon_of(docs, doc, text)
+    clean = clean_material(docs, doc, text, lexicon)
+    twice = [r["a"].lower() for r in clean.where("kind = 'right' and flag").select("a").collect()]
+    lexicon = Lexicon(lexicon.common, lexicon.attested.union(twice))
+    material = scanned_material(docs, doc, text, lexicon)
+    return Model(lexicon, editor_of(clean, lexicon, material.edits), train_taker(material))
 
 
 def _suspect(text: Column) -> Column:

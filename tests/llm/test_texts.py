@@ -307,6 +307,25 @@ def test_words_that_exist_are_kept(spark):
     assert "moved clown during" in text and "changed fin some" in text and "because the membrane" in text and "within days" in text
 
 
+def test_all_papers_teach_the_model(spark, monkeypatch):
+    """Two of many papers attest a word, wherever they lie, and trainings on shards make one editor."""
+    names = [f"Re{c}ceptor" for c in "abdfghijklmnoqstuvwxyz"]
+    texts = [" ".join(PROSE)] * 9000
+    for k, name in enumerate(names):
+        texts[400 * k] += f" {name}."
+        texts[400 * k + 1] += f" ({name})"
+    texts[17] += "\n```\nReaaceptor\n```\n| Reaaceptor |\nReceptorr-Kelnor"
+    texts += ["The receptor moved during secre-\ntion of the protein and the signal was changed within\nsome days becausc the rnembrane moved after " + names[0]]
+    papers = docs(spark, texts, text="marker_md")
+    lexicon, _ = scans.lexicon_of(papers, "doc_id", "marker_md")
+    clean = {(r["kind"], r["a"]): r["flag"] for r in scans.clean_material(papers, "doc_id", "marker_md", lexicon).collect()}
+    assert {a: flag for (kind, a), flag in clean.items() if kind == "right"} == {**dict.fromkeys(names, True), "Receptorr": False}
+    monkeypatch.setattr(scans, "SHARD", 10)
+    model = scans.fit(papers)
+    assert {n.lower() for n in names} <= model.lexicon.attested
+    assert [x[1:] for x in rows(scans.scan_noise(papers, model=model))] == [(1, "hyphen"), (3, "misread")] and len(clean) > 20
+
+
 def test_page_values():
     assert [scans.page_value(x) for x in ("12", "xiv", "IX", "iv")] == [12, 14, 9, 4]
 
