@@ -368,6 +368,38 @@ def test_filter_passes_all_scanned_papers(spark):
     assert rows(clean.where(scans._suspect(F.col("marker_md")))) == []
 
 
+def test_papers_are_judged_once(spark, monkeypatch):
+    """One search of the texts for signs of scanned pages serves the words, the material and the result."""
+    asked, suspect = [], scans._suspect
+    monkeypatch.setattr(scans, "_suspect", lambda text: asked.append(text) or suspect(text))
+    scanned = "The membrane moved during secre-\ntion of the protein and the signal was changed within\nsome days becausc the rnembrane moved after"
+    papers = docs(spark, [" ".join(PROSE)] * 40 + [scanned, None, ""], text="marker_md")
+    assert [x[1:] for x in rows(scans.scan_noise(papers))] == [(1, "hyphen"), (3, "misread")] and len(asked) == 1
+
+
+def test_first_patterns_spare_no_suspect(spark):
+    draw = random.Random(5)
+    signs = [*"aaabbEZvi19 \n\n--¬‐\xad|_\t  \x85,Ωя٣𝐚😀ǅ\r\u2028"]
+    texts = docs(spark, ["".join(draw.choices(signs, k=draw.randrange(4, 60))) for _ in range(20000)]).distinct()
+    for first, *others in scans._SUSPECT:
+        for other in others:
+            found = texts.where(F.col("text").rlike(other))
+            assert found.count() > 100 and found.where(~F.col("text").rlike(first)).count() == 0
+    assert sum(len(patterns) > 1 for patterns in scans._SUSPECT) == 2
+
+
+def test_common_words_give_no_material(spark, monkeypatch):
+    """What is left out before words are counted gives nothing after, however many words are left out."""
+    texts = [" ".join(PROSE) + f" Membrane {w} The-{w} well-known PROTEIN proteinn" for w in ("receptorr", "signall", "Daysx")] * 3
+    papers = docs(spark, texts, text="marker_md")
+    lexicon, _ = scans.lexicon_of(papers, "doc_id", "marker_md")
+    material = rows(scans.clean_material(papers, "doc_id", "marker_md", lexicon))
+    assert material and {"membrane", "protein"} <= lexicon.common
+    for n in (0, 3):
+        monkeypatch.setattr(scans, "PASSED", n)
+        assert rows(scans.clean_material(papers, "doc_id", "marker_md", lexicon)) == material
+
+
 # 7: markup
 
 RESIDUE = ["a <b>c</b>", "x &amp; y", "<!-- image -->", "see [[Link|link]] here", "{{cite|1}} x", "the '''bold''' word", "== Title ==", r"\section{A}", r"a \textbf{b}", r"{\it c}", "<br/>", "(\\ref{f:1}) x"]
